@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
 
+# Dividing a key by the unit of a grain drops everything finer.
+GRAIN_UNITS = {"minute": 1, "hour": 100, "day": 10_000}
+
+
 def _c(c: Column | str) -> Column:
     return col(c) if isinstance(c, str) else c
 
@@ -76,12 +80,10 @@ def key_epoch_minutes(key: Column) -> Column:
     )
 
 
-def key_timestamp(key: Column, grain: str = "minute") -> Column:
-    """The key as a local timestamp, cut to ``minute``, ``hour`` or ``day``."""
-    hour = lit(0) if grain == "day" else key_hour(key)
-    minute = key_minute(key) if grain == "minute" else lit(0)
-    return F.make_timestamp_ntz(
-        key_year(key), key_month(key), key_day(key), hour, minute, lit(0)
+def key_timestamp(key: Column) -> Column:
+    """The key as a local timestamp."""
+    return F.timestamp_add(
+        "MINUTE", key_hour(key) * 60 + key_minute(key), key_date(key).cast("timestamp_ntz")
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
@@ -90,6 +90,12 @@ def with_rate(df: DataFrame, star: Star) -> DataFrame:
     return _lookup(df, dim, "RateCodeID", "ratecodeid", rate_description="ratedescription")
 
 
+def with_trip_key(df: DataFrame, star: Star) -> DataFrame:
+    """The pickup minute key, NULL outside the calendar: the key a join would have found."""
+    key = col("PickupDateTimeID")
+    return df.withColumn("trip_key", F.when(star.calendar.covers(key), key))
+
+
 def with_time(df: DataFrame, star: Star) -> DataFrame:
     """Time attributes of the pickup minute, NULL outside the calendar.
 
@@ -97,23 +103,27 @@ def with_time(df: DataFrame, star: Star) -> DataFrame:
     its key. Deriving them saves joining the whole fact to millions of minutes.
     ``with_time_joined`` is the join itself, for calendars with columns of their own.
     """
-    key = col("PickupDateTimeID")
-    inside = star.calendar.covers(key)
-
-    def attr(value):
-        return F.when(inside, value)
-
-    return df.withColumns(
+    key = col("trip_key")
+    return with_trip_key(df, star).withColumns(
         {
-            "trip_date": attr(tk.key_date(key)),
-            "trip_year": attr(tk.key_year(key)),
-            "trip_month": attr(tk.key_month(key)),
-            "trip_day": attr(tk.key_day(key)),
-            "trip_hour": attr(tk.key_hour(key)),
+            "trip_date": tk.key_date(key),
+            "trip_year": tk.key_year(key),
+            "trip_month": tk.key_month(key),
+            "trip_day": tk.key_day(key),
+            "trip_hour": tk.key_hour(key),
         }
     )
 
 
+def group_by_date(df: DataFrame, star: Star, *measures: Column) -> DataFrame:
+    """Aggregate per ``trip_date``. Rows are grouped on a number cut from the key; the
+    date itself is only built for the few grouped rows."""
+    day = tk.int_div(col("trip_key"), 10_000)
+    grouped = with_trip_key(df, star).groupBy(day.alias("trip_day_number")).agg(*measures)
+    date = tk.key_date(col("trip_day_number") * 10_000).alias("trip_date")
+    return grouped.select(date, *[c for c in grouped.columns if c != "trip_day_number"])
+
+
 def with_time_joined(df: DataFrame, dimtime: DataFrame) -> DataFrame:
     """The same attributes by a left join on the pickup minute key."""
     dim = dimtime.select(

@@ -15,7 +15,7 @@ from tripspark.operators.filters import DashboardFilters, apply_filters, last_30
 from tripspark.operators.rounding import settle_doubles
 from tripspark.operators.star import Calendar, Star, bronze_zone_join, with_time_joined
 from tripspark.plans import charts, gold, samples, silver, wide
-from tripspark.session import shared_dir
+from tripspark.session import shared_dir, tune
 from tripspark.sources import dimensions, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,7 @@ BOROUGH = "ASIA"
 
 def star_of(spark: SparkSession, sf_dir: str) -> Star:
     """The star over trips derived from the order tables; nothing is written."""
+    tune(spark)
     return Star(
         spark=spark,
         fact=silver.transform_trips(order_lines.bronze_trips(spark, sf_dir)),

@@ -8,7 +8,7 @@ from pyspark.sql.functions import col
 
 from tripspark.functions import timekeys as tk
 from tripspark.operators.histogram import histogram
-from tripspark.operators.star import Star, with_payment, with_pickup, with_time
+from tripspark.operators.star import Star, with_payment, with_pickup, with_trip_key
 
 
 def _trips():
@@ -39,9 +39,11 @@ def chart_hourly_true(star: Star) -> DataFrame:
 
 
 def _per_grain(star: Star, grain: str) -> DataFrame:
-    key = col("PickupDateTimeID")
-    at = F.when(star.calendar.covers(key), tk.key_timestamp(key, grain))
-    return star.good().groupBy(at.alias("trip_time")).agg(_trips()).orderBy("trip_time")
+    """Grouped on the key cut to the grain; timestamps are built for grouped rows only."""
+    cut = tk.int_div(col("trip_key"), tk.GRAIN_UNITS[grain])
+    grouped = with_trip_key(star.good(), star).groupBy(cut.alias("cut")).agg(_trips())
+    at = tk.key_timestamp(col("cut") * tk.GRAIN_UNITS[grain])
+    return grouped.select(at.alias("trip_time"), "trip_count").orderBy("trip_time")
 
 
 def chart_borough(star: Star) -> DataFrame:
@@ -70,5 +72,9 @@ def per_time_grain(df: DataFrame, ts: str, grain: str) -> DataFrame:
 
     ``date_trunc`` would take the timestamp through the session time zone.
     """
-    at = tk.key_timestamp(tk.minute_key(ts), grain)
-    return df.groupBy(at.alias("period")).agg(F.count("*").alias("n")).orderBy("period")
+    unit = tk.GRAIN_UNITS[grain]
+    grouped = df.groupBy(tk.int_div(tk.minute_key(ts), unit).alias("cut")).agg(
+        F.count("*").alias("n")
+    )
+    at = tk.key_timestamp(col("cut") * unit)
+    return grouped.select(at.alias("period"), "n").orderBy("period")

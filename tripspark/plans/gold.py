@@ -15,6 +15,7 @@ from tripspark.functions.quality import CORRUPTED, GOOD
 from tripspark.operators import shares
 from tripspark.operators.star import (
     Star,
+    group_by_date,
     with_day_of_week,
     with_payment,
     with_pickup,
@@ -71,12 +72,10 @@ def _timed(star: Star) -> DataFrame:
 
 
 def daily_trends(star: Star) -> DataFrame:
-    return (
-        _timed(star)
-        .groupBy("trip_date")
-        .agg(m.trips(), m.avg_fare(), m.revenue("daily_revenue"))
-        .orderBy("trip_date")
+    daily = group_by_date(
+        star.good(), star, m.trips(), m.avg_fare(), m.revenue("daily_revenue")
     )
+    return daily.orderBy("trip_date")
 
 
 def hourly_distribution(star: Star) -> DataFrame:
@@ -368,10 +367,9 @@ def duration_vs_fare(star: Star) -> DataFrame:
 
 
 def gold_daily(star: Star) -> DataFrame:
-    return (
-        _timed(star)
-        .groupBy("trip_date")
-        .agg(m.trips(), m.revenue("daily_revenue"), m.avg_fare(), m.avg_tip_percentage())
+    return group_by_date(
+        star.good(), star,
+        m.trips(), m.revenue("daily_revenue"), m.avg_fare(), m.avg_tip_percentage(),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -16,6 +17,8 @@ from tripspark.schemas import BRONZE_TRIP, FACT_TRIP, check_schema
 from tripspark.sinks import tables as sink
 from tripspark.sources import bronze, dimensions
 
+log = logging.getLogger(__name__)
+
 
 def trip_id(df: DataFrame):
     """A row id that stays the same when a day is loaded again.
@@ -160,13 +163,17 @@ def load_facts(
     """
     first, last = source_bounds(spark, days)
     trips = bronze.read_bronze(spark, bronze_root, first, last)
+    counted = bronze.read_bronze(spark, bronze_root, first, last, lineage=False)
+    outcome = load_outcome(counted, days)
+    if counted.isEmpty():
+        log.warning("no bronze trips from %s to %s", first, last)
+        return outcome, 0
     written = Observation("fact_load")
     fact = transform_trips(trips, days.offset_years).observe(
         written, F.count(lit(1)).alias("rows")
     )
     sink.overwrite_partitions(fact, table, "source_date", provider)
-    counted = bronze.read_bronze(spark, bronze_root, first, last, lineage=False)
-    return load_outcome(counted, days), written.get["rows"]
+    return outcome, written.get["rows"]
 
 
 def build_dimensions(

@@ -8,7 +8,10 @@ from pyspark.sql import SparkSession
 
 # Settings the jobs rely on at scale. AQE converts joins to broadcast from measured
 # sizes, splits skewed join partitions and coalesces small ones.
+# HotSpot never compiles methods over 8000 bytes, so a wide query whose generated method
+# exceeds that must fall back to one method per operator instead of being interpreted.
 CLUSTER_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -70,6 +73,14 @@ def local_session(
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Lower the generated-method limit of a session that has not chosen one."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key) == "65535":
+        spark.conf.set(key, CLUSTER_CONF[key])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the one named in spark.checkpoint.dir.
 

@@ -7,18 +7,31 @@ amounts. All parameters below are fixed values of that mapping.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
+from pyspark.sql.types import StructType
+
+
+# Minute of the day a trip starts.
+START = "(l_orderkey * 7 + l_linenumber * 131) % 1440"
+
+
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """A table of the folder. Its footer is read for the schema once per session."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
-def _minutes(n) -> F.Column:
-    seconds = (n * 60).cast("decimal(18,6)")
-    return F.make_dt_interval(lit(0), lit(0), lit(0), seconds)
+def _later(ts: Column, minutes: Column) -> Column:
+    return F.timestamp_add("MINUTE", minutes, ts)
 
 
 def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,40 +46,32 @@ def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders.join(dropoff_places, col("o_custkey") == col("c_custkey"))
     rows = lines.join(orders, col("l_orderkey") == col("o_orderkey"))
 
-    start = (col("l_orderkey") * 7 + col("l_linenumber") * 131) % 1440
-    ride = col("l_partkey") % 125 - 2
-    rate = col("l_orderkey") % 8
-    day = col("o_orderdate").cast("date")
-
-    def cents(amount):
-        return F.floor(amount / 10) / 100
-
-    price = col("l_extendedprice")
-    return rows.select(
-        lit(1).cast("long").alias("VendorID"),
-        (col("o_orderdate") + _minutes(start)).alias("tpep_pickup_datetime"),
-        F.when(col("l_partkey") % 97 != 0, col("o_orderdate") + _minutes(start + ride)).alias(
-            "tpep_dropoff_datetime"
-        ),
-        col("l_linenumber").cast("double").alias("passenger_count"),
-        (col("l_quantity") / 4).alias("trip_distance"),
-        F.when(rate == 7, 99).when(rate == 0, 7).otherwise(rate).cast("double").alias("RatecodeID"),
-        lit("N").alias("store_and_fwd_flag"),
-        col("s_nationkey").cast("long").alias("PULocationID"),
-        col("c_nationkey").cast("long").alias("DOLocationID"),
-        F.substring("o_orderpriority", 1, 1).cast("long").alias("payment_type"),
-        cents(price).alias("fare_amount"),
-        lit(0.5).alias("extra"),
-        lit(0.5).alias("mta_tax"),
-        cents(price * col("l_discount")).alias("tip_amount"),
-        lit(0.0).alias("tolls_amount"),
-        lit(1.0).alias("improvement_surcharge"),
-        cents(price * (1 + col("l_tax") + col("l_discount"))).alias("total_amount"),
-        lit(2.5).alias("congestion_surcharge"),
-        F.when(col("l_linenumber") == 1, 1.75).otherwise(0.0).alias("Airport_fee"),
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
+    return rows.selectExpr(
+        "1L AS VendorID",
+        f"timestampadd(MINUTE, {START}, o_orderdate) AS tpep_pickup_datetime",
+        f"""CASE WHEN l_partkey % 97 != 0
+                 THEN timestampadd(MINUTE, {START} + l_partkey % 125 - 2, o_orderdate)
+            END AS tpep_dropoff_datetime""",
+        "CAST(l_linenumber AS DOUBLE) AS passenger_count",
+        "l_quantity / 4 AS trip_distance",
+        """CAST(CASE l_orderkey % 8 WHEN 7 THEN 99 WHEN 0 THEN 7 ELSE l_orderkey % 8 END
+                AS DOUBLE) AS RatecodeID""",
+        "'N' AS store_and_fwd_flag",
+        "CAST(s_nationkey AS BIGINT) AS PULocationID",
+        "CAST(c_nationkey AS BIGINT) AS DOLocationID",
+        "CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS payment_type",
+        "floor(l_extendedprice / 10) / 100 AS fare_amount",
+        "0.5D AS extra",
+        "0.5D AS mta_tax",
+        "floor(l_extendedprice * l_discount / 10) / 100 AS tip_amount",
+        "0.0D AS tolls_amount",
+        "1.0D AS improvement_surcharge",
+        "floor(l_extendedprice * (1 + l_tax + l_discount) / 10) / 100 AS total_amount",
+        "2.5D AS congestion_surcharge",
+        "CASE WHEN l_linenumber = 1 THEN 1.75D ELSE 0.0D END AS Airport_fee",
+        "year(o_orderdate) AS year",
+        "month(o_orderdate) AS month",
+        "day(o_orderdate) AS day",
     )
 
 
@@ -98,7 +103,7 @@ def conversation_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         col("conv_id").alias("id"),
         (col("turns") + 100).alias("user_id"),
         (col("has_system") + 1001).alias("team_id"),
-        (base + _minutes(col("conv_id") * 15)).alias("created_at"),
+        _later(base, col("conv_id") * 15).alias("created_at"),
     )
     asked = turns.filter(col("role") == "user")
     answers = turns.filter(col("role") == "assistant").select(
@@ -106,7 +111,7 @@ def conversation_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         (col("turn") - 1).alias("answers_turn"),
         col("text").alias("response"),
     )
-    at = base + _minutes(col("conv_id") * 15 + col("turn"))
+    at = _later(base, col("conv_id") * 15 + col("turn"))
     chats = asked.join(
         answers,
         (col("conv_id") == col("answer_conv")) & (col("turn") == col("answers_turn")),
@@ -118,6 +123,6 @@ def conversation_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         F.concat(lit("Explain: "), col("text")).alias("prompt"),
         "response",
         at.alias("created_at"),
-        (at + _minutes(lit(1))).alias("updated_at"),
+        _later(at, lit(1)).alias("updated_at"),
     )
     return conversations, chats
