@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
     session = local_session(
         conf={"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
     )
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -1,0 +1,203 @@
+"""Tables, sample data, views and the streaming load."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.functions import col
+
+import __spark_entry__ as spark_entry
+from tests.trips import trip, write_bronze
+from tripspark import session
+from tripspark.plans import catalogue, gold, samples, views
+from tripspark.schemas import CHATS, CONVERSATIONS
+from tripspark.sinks import tables as sink
+from tripspark.sources import bronze, tables
+from tripspark.streaming import daily
+
+
+@pytest.fixture(scope="module")
+def chats(spark):
+    """The published sample conversations, through DDL and inserts."""
+    sink.create_namespace(spark, "chat")
+    sink.create_table(
+        spark, "chat.conversations", CONVERSATIONS, comment="A user's chats, a bit like a history"
+    )
+    sink.create_table(spark, "chat.chats", CHATS, comment="Questions and answers")
+
+    def at(h, m, s=0):
+        return datetime(2024, 10, 8, h, m, s)
+
+    sink.append_rows(
+        spark.createDataFrame(
+            [(1, 101, 1001, at(12, 0)), (2, 102, 1001, at(12, 15)), (3, 103, 1002, at(12, 30)),
+             (4, 104, 1003, at(12, 45)), (5, 105, 1001, at(13, 0))],
+            CONVERSATIONS,
+        ),
+        "chat.conversations",
+        CONVERSATIONS,
+    )
+    talk = [
+        (6, 5, at(13, 1), at(13, 1, 20)), (1, 1, at(12, 1), at(12, 1, 10)),
+        (2, 1, at(12, 2), at(12, 2, 5)), (3, 2, at(12, 16), at(12, 16, 20)),
+        (4, 3, at(12, 31), at(12, 31, 5)), (5, 4, at(12, 46), at(12, 46, 30)),
+    ]
+    sink.append_rows(
+        spark.createDataFrame(
+            [(i, c, f"question {i}", f"prompt {i}", f"answer {i}", a, b) for i, c, a, b in talk],
+            CHATS,
+        ),
+        "chat.chats",
+        CHATS,
+    )
+    return tables.read_table(spark, "chat.conversations"), tables.read_table(spark, "chat.chats")
+
+
+def test_chats_of_a_team(chats):
+    rows = samples.conversation_chats(*chats, team_id=1001).collect()
+    assert [(r.conversation_id, r.user_id, r.chat_id) for r in rows] == [
+        (1, 101, 1), (1, 101, 2), (2, 102, 3), (5, 105, 6),
+    ]
+    assert rows[0].response == "answer 1"
+
+
+def test_chats_across_sources(spark, chats, tmp_path):
+    conversations, talk = chats
+    talk.write.orc(str(tmp_path / "chats"))
+    rows = samples.federated_chats(conversations, spark.read.orc(str(tmp_path / "chats")))
+    assert [r.chat_id for r in rows.collect()] == [1, 2, 3, 4, 5, 6]
+
+
+def test_catalog_inspection(spark, chats):
+    assert tables.table_exists(spark, "chat.chats")
+    assert not tables.table_exists(spark, "chat.nothing")
+    assert "chat" in [r[0] for r in tables.namespaces(spark).collect()]
+    names = [r["tableName"] for r in tables.tables(spark, "chat").collect()]
+    assert {"chats", "conversations"} <= set(names)
+    described = {r["col_name"]: r["data_type"] for r in tables.describe(spark, "chat.chats").collect()}
+    assert described["conversation_id"] == "int"
+    assert spark.catalog.getTable("chat.conversations").description.startswith("A user's chats")
+    assert tables.empty(spark, CHATS).count() == 0
+
+
+def test_required_columns_refuse_null(spark, chats):
+    bad = spark.createDataFrame([(9, None, 1, None)], "id int, user_id int, team_id int, created_at timestamp")
+    with pytest.raises(Exception, match="NULL in required column user_id"):
+        sink.append_rows(bad, "chat.conversations", CONVERSATIONS)
+
+
+def test_refresh_drop_and_namespace_warning(spark):
+    sink.create_namespace(spark, "misc")
+    sink.refresh_table(spark.range(5), "misc.numbers")
+    sink.refresh_table(spark.range(3), "misc.numbers")
+    assert spark.table("misc.numbers").count() == 3
+    sink.drop_table(spark, "misc.numbers")
+    sink.drop_table(spark, "misc.numbers")
+    assert not tables.table_exists(spark, "misc.numbers")
+    sink.create_namespace(spark, "no_such_catalog.ns", required=False)
+    with pytest.raises(Exception):
+        sink.create_namespace(spark, "no_such_catalog.ns")
+
+
+def test_partition_files_are_replaced_not_added(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(100).select("id", (col("id") % 4).alias("k"))
+    sink.overwrite_partition_files(df, path, "k")
+    sink.overwrite_partition_files(df.filter("k = 1").withColumn("id", col("id") + 1000), path, "k")
+    back = spark.read.parquet(path)
+    assert back.count() == 100
+    assert back.filter("k = 1").agg(F.min("id")).first()[0] == 1001
+
+
+def test_csv_export_and_lineage(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    sink.export_rows(spark.range(20).select((20 - col("id")).alias("n")), path, ["n"])
+    text = bronze.read_csv_strings(spark, path)
+    assert dict(text.dtypes) == {"n": "string"} and text.count() == 20
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    row = bronze.with_lineage(bronze.read_parquet(spark, str(tmp_path / "p")), "upload").first()
+    assert row.source == "upload" and row.original_path.endswith(".parquet") and row.file_size > 0
+
+
+def test_number_range(spark):
+    df = samples.number_range(spark)
+    assert df.count() == 1_000_000
+    assert tuple(df.orderBy(col("id").desc()).first()) == (999_999, 1_000_009, 1_000_019)
+
+
+def test_union_counts_by_position(spark):
+    a = spark.createDataFrame([(1, "x")], "p int, q string")
+    b = spark.createDataFrame([(2, "y"), (3, "z")], "r int, s string")
+    assert samples.union_count(a, b).first()["n"] == 3
+
+
+def test_shared_dir_is_the_configured_one(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert session.shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
+
+
+def test_object_store_conf_has_no_secrets():
+    conf = session.object_store_catalog_conf("lake", "http://catalog/api", "s3a://w/", "http://s3")
+    assert conf["spark.sql.catalog.lake"].endswith("SparkCatalog")
+    assert not [k for k in conf if "key" in k or "secret" in k]
+
+
+def test_tune_keeps_a_chosen_limit(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "65535")
+        assert session.tune(spark).conf.get(key) == "8000"
+        spark.conf.set(key, "20000")
+        assert session.tune(spark).conf.get(key) == "20000"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_sql_over_the_views(spark, sf_dir):
+    star = catalogue.star_of(spark, sf_dir)
+    views.register_views(star)
+    got = spark.sql(
+        "SELECT r.ratecode AS rate_description, COUNT(*) AS trip_count FROM fact_trip ft "
+        "LEFT JOIN dimratecode r ON ft.ratecodeid = r.ratecodeid "
+        "WHERE ft.quality_issue = 'good' AND r.ratecode IS NOT NULL GROUP BY r.ratecode"
+    )
+    want = gold.rate_code_analysis(star).select("rate_description", "trip_count")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    by_hour = spark.sql(
+        "SELECT t.hour AS trip_hour, COUNT(*) AS trip_count FROM fact_trip ft "
+        "LEFT JOIN dimtime t ON ft.pickupdatetimeid = t.timeid "
+        "WHERE ft.quality_issue = 'good' GROUP BY t.hour"
+    )
+    want = gold.hourly_distribution(star).select("trip_hour", "trip_count")
+    assert sorted(map(tuple, by_hour.collect()), key=str) == sorted(
+        map(tuple, want.collect()), key=str
+    )
+
+
+def test_stream_loads_new_days_whole(spark, tmp_path):
+    root, state = str(tmp_path / "bronze"), str(tmp_path / "state")
+    sink.create_namespace(spark, "silver_stream")
+    table = "silver_stream.fact_trip"
+
+    def load():
+        daily.load_new_files(spark, root, table, state).awaitTermination()
+        return sorted(
+            (r["source_date"].day, r["FareAmount"])
+            for r in spark.table(table).select("source_date", "FareAmount").collect()
+        )
+
+    write_bronze(spark, [trip(day=(2024, 1, 1), fare_amount=1.0)], root)
+    assert load() == [(1, 1.0)]
+    # A late file for the first day and a new day: the first day keeps its old rows.
+    write_bronze(
+        spark, [trip(day=(2024, 1, 1), fare_amount=2.0), trip(day=(2024, 1, 2), fare_amount=3.0)],
+        root,
+    )
+    want = [(1, 1.0), (1, 2.0), (2, 3.0)]
+    assert load() == want
+    assert load() == want
+
+
+def test_entry_has_rows(spark):
+    assert spark_entry.entry(spark).count() > 0

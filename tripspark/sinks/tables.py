@@ -9,8 +9,9 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import col
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.functions import col, lit
 from pyspark.sql.types import StructType
 
 log = logging.getLogger(__name__)
@@ -69,9 +70,24 @@ def refresh_table(df: DataFrame, name: str, provider: str = "parquet") -> None:
         df.write.mode("overwrite").format(provider).saveAsTable(name)
 
 
-def append_rows(df: DataFrame, name: str) -> None:
-    """Append rows, matched to the table's columns by name."""
-    df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+def _required(name: str, column: str) -> Column:
+    problem = F.raise_error(lit(f"NULL in required column {column} of {name}"))
+    return F.coalesce(col(column), problem).alias(column)
+
+
+def append_rows(df: DataFrame, name: str, schema: StructType | None = None) -> None:
+    """Append rows, matched to the table's columns by name.
+
+    File tables of the built-in catalog record NOT NULL without enforcing it. With the
+    ``schema`` the table was created from, the write fails on a NULL in such a column.
+    """
+    required = {f.name for f in schema.fields if not f.nullable} if schema else set()
+    df.select(
+        *[
+            _required(name, c) if c in required else col(c)
+            for c in df.sparkSession.table(name).columns
+        ]
+    ).write.insertInto(name)
 
 
 def overwrite_partitions(

@@ -47,7 +47,7 @@ def load_new_files(
     def load(batch: DataFrame, _batch_id: int) -> None:
         days = days_in(batch)
         if days:
-            reload_days(batch.sparkSession, root, table, days, offset_years)
+            reload_days(spark, root, table, days, offset_years)
 
     return (
         stream.writeStream.foreachBatch(load)
