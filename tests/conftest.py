@@ -23,4 +23,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return f"{TESTDATA}/sf0.001"
+    return f"{TESTDATA}/sf{os.environ.get('TEST_SF', '0.001')}"

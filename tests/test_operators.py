@@ -121,7 +121,7 @@ def test_bucket_counts_sum_to_the_trips(star, trips):
     good = [t for t in trips if t["quality_issue"] == "good"]
     for chart in (gold.fare_distribution, gold.distance_analysis, gold.passenger_distribution):
         assert sum(r["trip_count"] for r in chart(star).collect()) == len(good)
-    tipped = sum(t["tipAmount" if "tipAmount" in t else "TipAmount"] > 0 for t in good)
+    tipped = sum(t["TipAmount"] > 0 for t in good)
     rows = gold.tip_analysis(star).collect()
     assert sum(r["trip_count"] for r in rows) == tipped
     assert [r["tip_category"] for r in rows] == ["0-2", "2-5", "5-10", "10+"]

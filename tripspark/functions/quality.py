@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import col, lit
 
 GOOD = "good"
 CORRUPTED = "corrupted"
@@ -16,13 +15,10 @@ def is_corrupted() -> Column:
     Every term is never NULL, so a filter on the flag becomes a plain conjunction that
     Catalyst can push to the side of a join, or to the scan, that each term belongs to.
     """
-    pickup, dropoff = col("tpep_pickup_datetime"), col("tpep_dropoff_datetime")
-    return (
-        pickup.isNull()
-        | dropoff.isNull()
-        | F.coalesce(pickup > dropoff, lit(False))
-        | col("PULocationID").isNull()
-        | col("DOLocationID").isNull()
+    return F.expr(
+        "tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL "
+        "OR coalesce(tpep_pickup_datetime > tpep_dropoff_datetime, false) "
+        "OR PULocationID IS NULL OR DOLocationID IS NULL"
     )
 
 

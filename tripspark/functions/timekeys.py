@@ -10,30 +10,23 @@ from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import col, lit
+from pyspark.sql.functions import lit
 
 
 # Dividing a key by the unit of a grain drops everything finer.
 GRAIN_UNITS = {"minute": 1, "hour": 100, "day": 10_000}
 
 
-def _c(c: Column | str) -> Column:
-    return col(c) if isinstance(c, str) else c
-
-
 def int_div(a: Column, b: int) -> Column:
     """Integer division that truncates toward zero."""
     return F.call_function("div", a, lit(b))
 
 
-def minute_key(ts: Column | str) -> Column:
-    ts = _c(ts)
-    return (
-        F.year(ts).cast("long") * 100_000_000
-        + F.month(ts) * 1_000_000
-        + F.dayofmonth(ts) * 10_000
-        + F.hour(ts) * 100
-        + F.minute(ts)
+def minute_key(ts: str) -> Column:
+    """Minute key of a timestamp, date or timestamp text, given as SQL (usually a column)."""
+    return F.expr(
+        f"year({ts}) * 100000000L + month({ts}) * 1000000 + day({ts}) * 10000 "
+        f"+ hour({ts}) * 100 + minute({ts})"
     )
 
 
@@ -42,12 +35,12 @@ def date_key(d: date) -> int:
     return (d.year * 10_000 + d.month * 100 + d.day) * 10_000
 
 
-def unix_minute_key(ts: Column | str) -> Column:
+def unix_minute_key(ts: str) -> Column:
     """The earlier key form: epoch seconds rounded half up to a whole minute, as an int."""
-    ts = _c(ts)
-    minutes = F.unix_date(ts.cast("date")).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    carry = F.when(F.second(ts) >= 30, 1).otherwise(0)
-    return ((minutes + carry) * 60).cast("int")
+    return F.expr(
+        f"CAST((unix_date(CAST({ts} AS DATE)) * 1440L + hour({ts}) * 60 + minute({ts}) "
+        f"+ IF(second({ts}) >= 30, 1, 0)) * 60 AS INT)"
+    )
 
 
 def key_year(key: Column) -> Column:

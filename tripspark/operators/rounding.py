@@ -17,7 +17,7 @@ def settle_doubles(df: DataFrame) -> DataFrame:
     """
     return df.select(
         *[
-            (F.floor(col(f.name) * 10_000 + 0.500001) / 10_000).alias(f.name)
+            F.expr(f"floor(`{f.name}` * 10000 + 0.500001D) / 10000").alias(f.name)
             if isinstance(f.dataType, DoubleType)
             else col(f.name)
             for f in df.schema.fields

@@ -7,7 +7,8 @@ that outgrows the threshold falls back to a shuffle join with AQE's skew handlin
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,15 +36,33 @@ class Calendar:
 DEFAULT_CALENDAR = Calendar(date(2022, 1, 1), date(2025, 12, 31))
 
 
+Dimension = DataFrame | Callable[[], DataFrame]
+
+
 @dataclass(frozen=True)
 class Star:
+    """A fact and its dimensions. A dimension may be a function that makes it, so that a
+    query only builds the ones it joins."""
+
     spark: SparkSession
     fact: DataFrame
-    dimlocation: DataFrame
-    dimpayment: DataFrame
-    dimratecode: DataFrame
+    locations: Dimension
+    payments: Dimension
+    rates: Dimension
     calendar: Calendar = DEFAULT_CALENDAR
 
+    @property
+    def dimlocation(self) -> DataFrame:
+        return _made(self.locations)
+
+    @property
+    def dimpayment(self) -> DataFrame:
+        return _made(self.payments)
+
+    @property
+    def dimratecode(self) -> DataFrame:
+        return _made(self.rates)
+
     @property
     def dimtime(self) -> DataFrame:
         return dimensions.dimtime(self.spark, self.calendar.start, self.calendar.end)
@@ -52,9 +71,11 @@ class Star:
         return self.fact.filter(col("quality_issue") == GOOD)
 
     def with_fact(self, fact: DataFrame) -> Star:
-        return Star(
-            self.spark, fact, self.dimlocation, self.dimpayment, self.dimratecode, self.calendar
-        )
+        return replace(self, fact=fact)
+
+
+def _made(dimension: Dimension) -> DataFrame:
+    return dimension() if callable(dimension) else dimension
 
 
 def _lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, **names: str) -> DataFrame:

@@ -43,9 +43,9 @@ def star_of(spark: SparkSession, sf_dir: str) -> Star:
     return Star(
         spark=spark,
         fact=silver.transform_trips(order_lines.bronze_trips(spark, sf_dir)),
-        dimlocation=order_lines.locations(spark, sf_dir),
-        dimpayment=dimensions.dimpayment(spark),
-        dimratecode=dimensions.dimratecode(spark),
+        locations=lambda: order_lines.locations(spark, sf_dir),
+        payments=lambda: dimensions.dimpayment(spark),
+        rates=lambda: dimensions.dimratecode(spark),
         calendar=CALENDAR,
     )
 

@@ -6,7 +6,7 @@ import logging
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
@@ -37,55 +37,63 @@ def transform_trips(df: DataFrame, offset_years: int = 1) -> DataFrame:
     year, month and day are the bronze date moved forward by the offset. 29 February
     moves to 28 February, which is why the bronze date is the partition column.
     """
-    target = F.add_months(col("source_date"), 12 * offset_years)
-    flagged = add_quality_checks(df)
-    fact = flagged.withColumn("source_date", bronze.source_date()).select(
+    flagged = add_quality_checks(df).withColumn("source_date", bronze.source_date())
+    target = f"add_months(source_date, {12 * offset_years})"
+    fact = flagged.select(
         trip_id(df).alias("TripID"),
         tk.minute_key("tpep_pickup_datetime").alias("PickupDateTimeID"),
         tk.minute_key("tpep_dropoff_datetime").alias("DropOffDateTimeID"),
-        col("PULocationID").try_cast("int").alias("PULocationID"),
-        col("DOLocationID").try_cast("int").alias("DOLocationID"),
-        col("RatecodeID").try_cast("int").alias("RateCodeID"),
-        col("payment_type").try_cast("int").alias("PaymentTypeID"),
-        col("passenger_count").try_cast("int").alias("PassengerCount"),
-        col("trip_distance").cast("double").alias("TripDistance"),
-        col("fare_amount").cast("double").alias("FareAmount"),
-        col("tip_amount").cast("double").alias("TipAmount"),
-        col("tolls_amount").cast("double").alias("TollsAmount"),
-        col("Airport_fee").cast("double").alias("AirportAmount"),
-        col("total_amount").cast("double").alias("TotalAmount"),
-        col("extra").cast("double").alias("Extra"),
-        col("mta_tax").cast("double").alias("MTATax"),
-        col("congestion_surcharge").cast("double").alias("CongestionSurcharge"),
-        "quality_issue",
-        F.year(target).alias("year"),
-        F.month(target).alias("month"),
-        F.dayofmonth(target).alias("day"),
-        "source_date",
+        *_exprs(
+            "try_cast(PULocationID AS INT) AS PULocationID",
+            "try_cast(DOLocationID AS INT) AS DOLocationID",
+            "try_cast(RatecodeID AS INT) AS RateCodeID",
+            "try_cast(payment_type AS INT) AS PaymentTypeID",
+            "try_cast(passenger_count AS INT) AS PassengerCount",
+            "CAST(trip_distance AS DOUBLE) AS TripDistance",
+            "CAST(fare_amount AS DOUBLE) AS FareAmount",
+            "CAST(tip_amount AS DOUBLE) AS TipAmount",
+            "CAST(tolls_amount AS DOUBLE) AS TollsAmount",
+            "CAST(Airport_fee AS DOUBLE) AS AirportAmount",
+            "CAST(total_amount AS DOUBLE) AS TotalAmount",
+            "CAST(extra AS DOUBLE) AS Extra",
+            "CAST(mta_tax AS DOUBLE) AS MTATax",
+            "CAST(congestion_surcharge AS DOUBLE) AS CongestionSurcharge",
+            "quality_issue",
+            f"year({target}) AS year",
+            f"month({target}) AS month",
+            f"day({target}) AS day",
+            "source_date",
+        ),
     )
     return check_schema(fact, FACT_TRIP)
 
 
+def _exprs(*sql: str) -> list[Column]:
+    return [F.expr(e) for e in sql]
+
+
 def plain_projection(df: DataFrame) -> DataFrame:
     """The earlier fact shape: renamed columns, minute keys, no casts and no flag."""
     return df.select(
         trip_id(df).alias("TripID"),
         tk.minute_key("tpep_pickup_datetime").alias("PickupDateTimeID"),
         tk.minute_key("tpep_dropoff_datetime").alias("DropOffDateTimeID"),
-        "PULocationID",
-        "DOLocationID",
-        col("RatecodeID").alias("RateCodeID"),
-        col("payment_type").alias("PaymentTypeID"),
-        col("passenger_count").alias("PassengerCount"),
-        col("trip_distance").alias("TripDistance"),
-        col("fare_amount").alias("FareAmount"),
-        col("tip_amount").alias("TipAmount"),
-        col("tolls_amount").alias("TollsAmount"),
-        col("Airport_fee").alias("AirportAmount"),
-        col("total_amount").alias("TotalAmount"),
-        col("extra").alias("Extra"),
-        col("mta_tax").alias("MTATax"),
-        col("congestion_surcharge").alias("CongestionSurcharge"),
+        *_exprs(
+            "PULocationID",
+            "DOLocationID",
+            "RatecodeID AS RateCodeID",
+            "payment_type AS PaymentTypeID",
+            "passenger_count AS PassengerCount",
+            "trip_distance AS TripDistance",
+            "fare_amount AS FareAmount",
+            "tip_amount AS TipAmount",
+            "tolls_amount AS TollsAmount",
+            "Airport_fee AS AirportAmount",
+            "total_amount AS TotalAmount",
+            "extra AS Extra",
+            "mta_tax AS MTATax",
+            "congestion_surcharge AS CongestionSurcharge",
+        ),
     )
 
 

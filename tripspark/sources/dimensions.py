@@ -48,10 +48,12 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) ->
     Its size is known to the optimizer, unlike that of rows shipped from Python, so joins
     to it are broadcast without measuring anything first.
     """
-    key, name = (f.name for f in schema.fields)
+    columns = ", ".join(
+        f"CAST(c{i} AS {f.dataType.simpleString()}) AS {f.name}"
+        for i, f in enumerate(schema.fields)
+    )
     values = ", ".join(f"({number}, '{text}')" for number, text in rows)
-    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({key}, {name})")
-    return df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS t(c0, c1)")
 
 
 def dimpayment(spark: SparkSession) -> DataFrame:
