@@ -13,7 +13,7 @@ from tripspark.functions import timekeys as tk
 from tripspark.operators import files
 from tripspark.operators.filters import DashboardFilters, apply_filters, last_30_days
 from tripspark.operators.rounding import settle_doubles
-from tripspark.operators.star import Calendar, Star, bronze_zone_join, with_time_joined
+from tripspark.operators.star import Calendar, Star, bronze_zone_join
 from tripspark.plans import charts, gold, samples, silver, wide
 from tripspark.session import shared_dir, tune
 from tripspark.sources import dimensions, order_lines
@@ -113,21 +113,6 @@ def load_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.load_outcome(order_lines.bronze_trips(spark, sf_dir), LOAD_DAYS)
 
 
-def daily_trends_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily trends through the join with the minute dimension itself."""
-    star = star_of(spark, sf_dir)
-    timed = with_time_joined(star.good(), star.dimtime)
-    return settle_doubles(
-        timed.groupBy("trip_date")
-        .agg(
-            F.count(lit(1)).alias("trip_count"),
-            F.avg("FareAmount").alias("avg_fare"),
-            F.sum("TotalAmount").alias("daily_revenue"),
-        )
-        .orderBy("trip_date")
-    )
-
-
 # --- raw data -------------------------------------------------------------------------
 
 
@@ -249,7 +234,7 @@ QUERIES: dict[str, Query] = {
     "kpi_summary": aggregated(gold.kpi_summary),
     # time
     "daily_trends": aggregated(gold.daily_trends),
-    "daily_trends_joined": daily_trends_joined,
+    "daily_trends_joined": aggregated(gold.daily_trends_joined),
     "hourly_distribution": aggregated(gold.hourly_distribution),
     "monthly_trends": aggregated(gold.monthly_trends),
     "weekly_trends": aggregated(gold.weekly_trends),

@@ -21,6 +21,7 @@ from tripspark.operators.star import (
     with_pickup,
     with_rate,
     with_time,
+    with_time_joined,
 )
 from tripspark.plans import measures as m
 from tripspark.sinks import tables as sink
@@ -78,6 +79,30 @@ def daily_trends(star: Star) -> DataFrame:
     return daily.orderBy("trip_date")
 
 
+def daily_trends_joined(star: Star) -> DataFrame:
+    """Daily trends through the join with the minute dimension itself.
+
+    Trips are added up per minute first, so the join moves at most one row per minute,
+    however many trips a busy minute has.
+    """
+    per_minute = star.good().groupBy("PickupDateTimeID").agg(
+        F.count(lit(1)).alias("n"),
+        F.count("FareAmount").alias("fares"),
+        F.sum("FareAmount").alias("fare"),
+        F.sum("TotalAmount").alias("revenue"),
+    )
+    return (
+        with_time_joined(per_minute, star.dimtime)
+        .groupBy("trip_date")
+        .agg(
+            F.sum("n").alias("trip_count"),
+            F.try_divide(F.sum("fare"), F.sum("fares")).alias("avg_fare"),
+            F.sum("revenue").alias("daily_revenue"),
+        )
+        .orderBy("trip_date")
+    )
+
+
 def hourly_distribution(star: Star) -> DataFrame:
     return _timed(star).groupBy("trip_hour").agg(m.trips(), m.avg_fare()).orderBy("trip_hour")
 
