@@ -86,9 +86,10 @@ def test_pickup_and_dropoff_come_from_one_scan(spark, sf_dir):
     assert text.count("lineitem.parquet") == 1
 
 
-def test_histogram_reuses_the_counted_values(spark, sf_dir):
+def test_histogram_finds_the_range_once_and_shuffles_bins_only(spark, sf_dir):
     df = QUERIES["hist_fare"](spark, sf_dir)
     df.collect()
-    text = plan(df)
-    executed = text.split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in executed
+    executed = plan(df).split("== Initial Plan ==")[0]
+    assert executed.count("functions=[min(") == 1
+    assert "ReusedSubquery" in executed
+    assert "hashpartitioning(value" not in executed

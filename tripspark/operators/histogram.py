@@ -11,22 +11,17 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts in ``bins`` equal steps between the smallest and the largest value.
 
     The maximum belongs to the last bin, empty bins are listed with zero, and NULLs are
-    not counted. Rows are first counted per value, with map-side combining; the range
-    and the bins both come from those counts, so the input is read and moved once.
+    not counted. The range is a scalar subquery and the bins one aggregate: both read a
+    single column and send a handful of rows per task to the shuffle, whatever the number
+    of distinct values.
     """
-    per_value = (
-        df.filter(col(column).isNotNull())
-        .groupBy(col(column).cast("double").alias("value"))
-        .agg(F.count(lit(1)).alias("n"))
-    )
-    span = per_value.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    values = df.filter(col(column).isNotNull()).select(col(column).cast("double").alias("value"))
+    span = values.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     step = F.floor(F.try_divide((col("value") - lo) * bins, hi - lo))
     # One bin holds everything when all values are equal.
-    binned = per_value.select(
-        F.least(F.coalesce(step, lit(0)), lit(bins - 1)).alias("bin"), "n"
-    )
-    filled = binned.groupBy("bin").agg(F.sum("n").alias("n"))
+    bin_ = F.least(F.coalesce(step, lit(0)), lit(bins - 1))
+    filled = values.groupBy(bin_.alias("bin")).agg(F.count(lit(1)).alias("n"))
     edges = df.sparkSession.range(bins).select(col("id").alias("bin"))
     return (
         edges.join(filled, "bin", "left")
