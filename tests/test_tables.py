@@ -154,6 +154,19 @@ def test_tune_keeps_a_chosen_limit(spark):
         spark.conf.set(key, before)
 
 
+def test_tune_starts_large_shuffles_wide(spark, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session.tune(spark).conf.get(key, None) is None
+    monkeypatch.setattr(session, "CLUSTER_CORES", 1)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert session.tune(spark).conf.get(key) == str(8 * cores)
+        spark.conf.set(key, "5")
+        assert session.tune(spark).conf.get(key) == "5"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_sql_over_the_views(spark, sf_dir):
     star = catalogue.star_of(spark, sf_dir)
     views.register_views(star)

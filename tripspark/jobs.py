@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from tripspark.operators.star import DEFAULT_CALENDAR, Calendar
 from tripspark.plans import gold, silver
-from tripspark.session import CLUSTER_CONF
+from tripspark.session import CLUSTER_CONF, tune
 from tripspark.sinks.tables import create_namespace
 
 
@@ -66,7 +66,7 @@ def main() -> None:
     builder = SparkSession.builder.appName(f"tripspark-{args.job}")
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = tune(builder.getOrCreate())
     code = run(spark, args)
     spark.stop()
     sys.exit(code)

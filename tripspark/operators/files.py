@@ -8,11 +8,11 @@ from pyspark.sql.functions import col, lit
 
 
 def _relative(root: str) -> Column:
-    """Path below ``root``. Spark lists paths with a scheme, so the root is searched for."""
+    """Path below ``root``. Listed paths carry a scheme, so the root is searched for."""
     tail = root.split("://", 1)[-1].rstrip("/") + "/"
-    return F.substring(
-        col("path"), F.locate(tail, col("path")) + len(tail), F.length(col("path"))
-    )
+    at = F.locate(tail, col("path"))
+    below = F.substring(col("path"), at + len(tail), F.length(col("path")))
+    return F.when(at > 0, below).otherwise(col("path"))
 
 
 def manifest(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:

@@ -21,6 +21,11 @@ CLUSTER_CONF = {
 }
 
 
+# From this many cores on a session counts as a cluster.
+CLUSTER_CORES = 64
+PARTITIONS_PER_CORE = 8
+
+
 def object_store_catalog_conf(
     catalog: str,
     uri: str,
@@ -75,10 +80,20 @@ def local_session(
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Lower the generated-method limit of a session that has not chosen one."""
-    key = "spark.sql.codegen.hugeMethodLimit"
-    if spark.conf.get(key) == "65535":
-        spark.conf.set(key, CLUSTER_CONF[key])
+    """Settle two settings a session has left at their defaults.
+
+    The generated-method limit, see above; and on a cluster the number of partitions a
+    shuffle starts with, which AQE then merges down to the advisory size. The default of
+    200 would give each task of a very large join far more than fits in memory.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(limit) == "65535":
+        spark.conf.set(limit, CLUSTER_CONF[limit])
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    cores = spark.sparkContext.defaultParallelism
+    if cores >= CLUSTER_CORES and spark.conf.get(initial, None) is None:
+        chosen = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(initial, str(max(chosen, PARTITIONS_PER_CORE * cores)))
     return spark
 
 
