@@ -99,7 +99,7 @@ rate(ratecodeid, ratedescription) AS (
          (99, 'Unknown or other')
 ),
 minutes AS (
-  SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-07-31',
+  SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-03',
                                 INTERVAL 1 MINUTE)) AS ts
 ),
 dimtime AS (

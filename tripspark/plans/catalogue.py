@@ -20,9 +20,9 @@ from tripspark.sources import dimensions, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters of the registered queries. The calendar ends before the last trips, so
-# every query over time has a NULL group, as one with a dated calendar would.
-CALENDAR = Calendar(date(1995, 1, 1), date(2001, 7, 31))
+# Parameters of the registered queries. The calendar covers every order date of the
+# supplied tables; trips outside it would form a NULL group on both sides of the check.
+CALENDAR = Calendar(date(1995, 1, 1), date(2001, 8, 3))
 LOAD_DAYS = silver.LoadDays(date(1996, 1, 1), date(2002, 8, 10), offset_years=1)
 SPLIT_YEAR = 1998
 TEAM = 1001
