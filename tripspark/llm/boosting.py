@@ -57,6 +57,8 @@ def train(
 
     share = (y.sum() + 1) / (len(y) + 2)
     prior = float(np.log(share / (1 - share)))
+    if not 0 < y.sum() < len(y):  # nothing to tell apart
+        trees, x = 0, np.zeros((1, x.shape[1]))
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
     binned = np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T, strict=True)], axis=1)
     total = np.full(len(y), prior)
@@ -105,13 +107,14 @@ def train(
         grow(left, at[side], g, h, level + 1, *bounds[0])
         grow(right, at[~side], g, h, level + 1, *bounds[1])
 
-    for _ in range(trees if len(y) and 0 < y.sum() < len(y) else 0):
+    for _ in range(trees):
         p = 1 / (1 + np.exp(-total))
         root = add()
         roots.append(root)
         grow(root, np.arange(len(y)), p - y, p * (1 - p), 0, -4.0, 4.0)
+    whole = ("feature", "left", "right")
     return Forest(
-        *(np.array(nodes[k]) for k in nodes),
+        *(np.array(nodes[k], np.int64 if k in whole else np.float64) for k in nodes),
         roots=np.array(roots, np.int64),
         prior=prior,
         depth=depth,

@@ -186,11 +186,17 @@ class _Reader:
         self.restart()
 
     def restart(self) -> None:
-        self.state, self.headers, self.left = "between", {}, 0
+        self.state, self.headers, self.left, self.owed = "between", {}, 0, False
         self.origin: tuple | None = None
 
     def line(self, data: bytes) -> None:
         """One line without its line end."""
+        if self.owed:  # the end of the line before was part of the payload
+            self.owed = False
+            self.take(b"\r\n"[: self.left])
+            self.left -= 2
+            if self.left <= 0:
+                self.end()
         if self.state == "between":
             if data == b"WARC/1.0" or data == b"WARC/1.1":
                 self.state, self.headers = "headers", {}
@@ -207,11 +213,12 @@ class _Reader:
             if self.left <= 0:
                 self.end()
         else:
-            more = self.left > len(data)  # else the line end already closes the record
-            self.take(data[: self.left] + (b"\r\n" if more else b""))
-            self.left -= len(data) + 2
+            self.take(data[: self.left])
+            self.left -= len(data)
             if self.left <= 0:
                 self.end()
+            else:  # whether a line end follows shows with the next line
+                self.owed = True
 
     def begin(self) -> None:
         get = self.headers.get
