@@ -1,7 +1,7 @@
 """Quality classifier: logistic regression on hashed word n-grams, trained with FTRL updates.
 
 Method. Words and word pairs in lower case are hashed into 2**BUCKET_BITS buckets; a document is the
-sparse vector of its buckets, each with the same value and length one in total. The weights come
+sparse vector of its buckets, of length one, with the roots of the counts. The weights come
 from follow-the-regularised-leader updates, one per labelled document and epoch, with per-bucket
 learning rates and an L1 term that leaves most weights at zero. Scoring is a sparse dot product.
 
@@ -17,6 +17,7 @@ kinds every score is the smoothed share of label 1. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -33,20 +34,30 @@ from tripspark.llm.quality_rules import labelled
 BUCKET_BITS = 20
 FOLDS = 5
 SAMPLE = 20_000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.1
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.05, 0.0
 THRESHOLD = 0.3
 
 
-def buckets(text: bytes) -> np.ndarray:
-    """The distinct buckets of a text's words and word pairs, sorted."""
-    words = text.lower().split()
+# A word is a run of letters and digits or a run of marks, so that marks stuck to a word count
+# as words of their own.
+_WORD = re.compile(rb"[0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff\x20\x09-\x0d]+")
+
+
+def buckets(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text's words and word pairs, sorted, and their values: square
+    roots of the counts, scaled to length one. All pairs of equal words share a bucket."""
+    words = _WORD.findall(text.lower())
     if not words:
-        return np.empty(0, np.int32)
+        return np.empty(0, np.int32), np.empty(0, np.float32)
     one = np.fromiter(map(xxhash.xxh32_intdigest, words, repeat(7)), np.uint64, len(words))
     pair = (one[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (one[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    pair[one[:-1] == one[1:]] = np.uint64(0xA0761D6478BD642F)
     both = np.concatenate([one * np.uint64(0xD6E8FEB86659FD93), pair])
-    return np.unique((both >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
+    found, counts = np.unique(
+        (both >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), return_counts=True
+    )
+    return found, np.sqrt(counts / counts.sum()).astype(np.float32)
 
 
 def held_out(doc_id: str | Column) -> Column:
@@ -74,35 +85,29 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def _vector(found: np.ndarray, bias: int) -> tuple[np.ndarray, np.ndarray]:
-    value = np.full(len(found) + 1, 1 / np.sqrt(max(len(found), 1)))
-    value[-1] = 1.0
-    return np.append(found, bias), value
-
-
-def fit(examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
-    """Weights from (buckets, label) examples in the given order; the bias is the last one."""
+def fit(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+    """Weights from (buckets, values, label) examples in order; the bias is the last one."""
     size = 1 << BUCKET_BITS
     state = Ftrl(size + 1)
-    good = sum(label for _, label in examples)
+    good = sum(label for *_, label in examples)
     if not 0 < good < len(examples):
         weights = np.zeros(size + 1)
         weights[-1] = np.log((good + 1) / (len(examples) - good + 1))
         return weights
-    vectors = [(*_vector(found, size), label) for found, label in examples]
     for _ in range(EPOCHS):
-        for at, value, label in vectors:
-            state.update(at, value, label)
+        for found, values, label in examples:
+            state.update(np.append(found, size), np.append(values, 1.0), label)
     return state.weights()
 
 
-_EXAMPLE_DDL = "doc_id long, row_hash long, label int, buckets binary"
+_EXAMPLE_DDL = "doc_id long, row_hash long, label int, buckets binary, values binary"
 _EXAMPLE = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("row_hash", pa.int64()),
         ("label", pa.int32()),
         ("buckets", pa.binary()),
+        ("values", pa.binary()),
     ]
 )
 
@@ -113,8 +118,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            found = [buckets(t).astype("<i4").tobytes() for t in texts(batch)]
-            yield rows(_EXAMPLE, [*batch.columns[:3], found])
+            found = [buckets(t) for t in texts(batch)]
+            data = [[b.astype("<i4").tobytes() for b, _ in found]]
+            data.append([v.astype("<f4").tobytes() for _, v in found])
+            yield rows(_EXAMPLE, [*batch.columns[:3], *data])
 
     found = (
         docs.select(col("doc_id").cast("long").alias("doc_id"), "text")
@@ -128,14 +135,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [
-            (np.frombuffer(data, "<i4"), label)
+            (np.frombuffer(found, "<i4"), np.frombuffer(values, "<f4"), label)
             for batch in batches
-            for label, data in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            for label, found, values in zip(*(c.to_pylist() for c in batch.columns), strict=True)
         ]
         weights = fit(examples).astype("<f4").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], ["weights"])
 
-    task = ordered.select("label", "buckets").coalesce(1).mapInArrow(learn, "weights binary")
+    task = ordered.select("label", "buckets", "values").coalesce(1).mapInArrow(learn, "weights binary")
     return np.frombuffer(task.first()["weights"], "<f4")
 
 
@@ -158,8 +165,9 @@ def report(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
         for batch in sliced(batches, "text"):
             scores = []
             for text in texts(batch):
-                at, value = _vector(buckets(text), len(weights) - 1)
-                scores.append(1 / (1 + np.exp(-np.clip(float(weights[at] @ value), -35, 35))))
+                found, values = buckets(text)
+                total = float(weights[found] @ values) + float(weights[-1])
+                scores.append(1 / (1 + np.exp(-np.clip(total, -35, 35))))
             scores = np.array(scores)
             yield rows(
                 _REPORT,
