@@ -66,21 +66,32 @@ def test_shards(spark, sequence, shard):
     check(docs(spark, rows).coalesce(2), rows, sequence, shard)
 
 
-def test_encoder_equals_the_tokenizer(sf_dir, spark):
+def test_words_equal_the_tokenizer(sf_dir, spark):
     texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + ODD
-    made = packing.WordEncoder(packing.default_tokenizer())
+    words = packing.Words(packing.default_tokenizer())
+    assert words.simple
     for _ in range(2):  # once learning, once from memory
-        for text, data in zip(texts, made.encode(texts), strict=True):
+        for text in texts:
             want = TOKENIZER.encode(text, add_special_tokens=False).ids
-            assert np.frombuffer(data, "<u4").tolist() == want
+            assert np.frombuffer(words.encode(text), "<u4").tolist() == want
+
+
+def test_random_words_equal_the_tokenizer():
+    rng = random.Random(3)
+    alphabet = "aBzÉßüİΣσς.,'’-é́ 漢ﬁ1²½#_<|endoftxs>\u200d\x1f\x85\xa0\u3000\U0001f600"
+    words = packing.Words(packing.default_tokenizer())
+    for _ in range(20_000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 9)))
+        want = TOKENIZER.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == want, repr(text)
 
 
 def test_full_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 3)
-    made = packing.WordEncoder(packing.default_tokenizer())
-    for text, data in zip(ODD, made.encode(ODD), strict=True):
-        assert np.frombuffer(data, "<u4").tolist() == ids_of(text)[:-1]
-    assert len(made.known) <= 4
+    words = packing.Words(packing.default_tokenizer())
+    for text in ODD:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == ids_of(text)[:-1]
+    assert len(words) <= 3
 
 
 def test_costs_are_balanced():

@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import heapq
 import os
+import string
+import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,64 +51,88 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordEncoder:
-    """The ids of texts, as little-endian bytes, encoded word by word and remembered.
+# Marks that a word may end in, all of ASCII but the apostrophe, which may begin a word of its own.
+MARKS = "".join(sorted(set(string.punctuation) - {"'"}))
+
+
+class Letters(dict):
+    """What the tokenizer's normalizer and pre-tokenizer make of a letter, or None if that is not
+    one piece."""
+
+    def __init__(self, pieces: Callable[[str], list[str]]):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, letter: str) -> str | None:
+        found = self.pieces(letter)
+        self[letter] = found[0] if len(found) == 1 else None
+        return self[letter]
+
+
+class Words(dict):
+    """The ids of words as little-endian bytes, remembered up to CACHED_WORDS of them.
 
     Only for tokenizers that never join ids across blanks and line feeds, as those that split
-    at white space and drop it. Words that are not known yet are encoded in one call, divided by
-    the tokenizer's own special token, whose id shows where each word ends.
+    at white space and drop it. An unknown word goes through the tokenizer's own normalizer,
+    pre-tokenizer and model one after the other, which spares the offsets a full encoding
+    makes. For a tokenizer that is seen to take letters one by one and to part them from marks, a
+    word of letters goes to the model directly and the marks after it are looked up apart.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.divider = max(special) if special else None
-        self.mark = special[self.divider].content if special else ""
-        self.specials = [t.content for t in special.values()]
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        plain = [w for w in words if not any(s in w for s in self.specials)]
-        found = {w: array("I", self._ids(w)).tobytes() for w in set(words).difference(plain)}
-        if self.divider is None:
-            return found | {w: array("I", self._ids(w)).tobytes() for w in plain}
-        for start in range(0, len(plain), 2000):
-            some = plain[start : start + 2000]
-            ids = np.array(self._ids(f" {self.mark} ".join(some)), "<u4")
-            ends = [*np.flatnonzero(ids == self.divider).tolist(), len(ids)]
-            data, at = ids.tobytes(), 0
-            for word, end in zip(some, ends, strict=True):
-                found[word] = data[4 * at : 4 * end]
-                at = end + 1
-        return found
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in batch]
-        known = self.known
-        new = set().union(*split).difference(known)
-        if new:
-            found = self._learn(list(new))
-            if len(known) + len(found) <= CACHED_WORDS:
-                known.update(found)
-            else:
-                known = known | found
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
+        self.model = self.tokenizer.model
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = Letters(self._pieces)
+        probe = string.ascii_letters + "éßñÜ"
+        parts = [[probe[0], m] for m in (MARKS, *MARKS)]
+        self.simple = self._pieces(probe) == [
+            "".join(self.letters[c] or "" for c in probe)
+        ] and parts == [self._pieces(probe[0] + m) for _, m in parts]
+
+    def _pieces(self, text: str) -> list[str]:
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        text = normal.normalize_str(text) if normal else text
+        return [p for p, _ in split.pre_tokenize_str(text)] if split else [text]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self._ids(word)
+        if len(self) < CACHED_WORDS:
+            self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        pieces = None
+        if self.simple:
+            if word.isalpha():
+                if word.isascii() or unicodedata.is_normalized("NFC", word):
+                    letters = list(map(self.letters.__getitem__, word))
+                    pieces = None if None in letters else ["".join(letters)]
+            elif (stem := word.rstrip(MARKS)) != word and stem.isalpha():
+                if self.letters[stem[-1]]:  # else its last piece is not letters only
+                    return (self.get(stem) or self._ids(stem)) + self[word[len(stem) :]]
+        if pieces is None:
+            if any(s in word for s in self.specials):
+                found = self.tokenizer.encode(word, add_special_tokens=False).ids
+                return array("I", found).tobytes()
+            pieces = self._pieces(word)
+        return array("I", [t.id for p in pieces for t in self.model.tokenize(p)]).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+_encoders: dict[str, Words] = {}
+
+
+def encoder(path: str) -> Words:
     """One encoder per worker process and tokenizer."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = Words(path)
     return _encoders[path]
 
 
@@ -192,8 +218,8 @@ def packed(
         number = TaskContext.get().partitionId() << 40
         waiting, size = [], 0
         for batch in sliced(batches, "text"):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(texts), strict=True):
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = words.encode(text or "")
                 waiting.append((doc_id, ids + last))
                 size += len(ids) // 4 + 1
                 if size >= shard_sequences * sequence:
