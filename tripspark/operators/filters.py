@@ -67,11 +67,6 @@ def by_team(conversations: DataFrame, team_id: int) -> DataFrame:
     return conversations.filter(col("team_id") == team_id)
 
 
-def chart_rows(chart: DataFrame, cap: int = 10_000) -> DataFrame:
-    """The row limit a dashboard puts on one chart."""
-    return chart.limit(cap)
-
-
 def sample_rows(df: DataFrame, fraction: float, n: int, seed: int) -> DataFrame:
     """A seeded Bernoulli sample in random order, at most ``n`` rows."""
     return df.sample(fraction=fraction, seed=seed).orderBy(F.rand(seed)).limit(n)

@@ -18,22 +18,36 @@ from pyspark.sql.functions import col
 from tripspark.functions import labels
 from tripspark.functions import timekeys as tk
 from tripspark.functions.quality import GOOD
-from tripspark.sources import dimensions
 
 
 @dataclass(frozen=True)
 class Calendar:
-    """Range of the minute dimension: midnight of ``start`` to midnight of ``end``."""
-
-    start: date
-    end: date
+    """First and last minute key of the minute dimension, as numbers or scalar subqueries."""
+
+    first: int | Column
+    last: int | Column
+
+    @classmethod
+    def between(cls, start: date, end: date) -> Calendar:
+        """Midnight of ``start`` to midnight of ``end``, as ``dimensions.dimtime`` lists it."""
+        return cls(tk.date_key(start), tk.date_key(end))
+
+    @classmethod
+    def of(cls, dimtime: DataFrame) -> Calendar:
+        """The range a minute dimension holds, found when a query runs."""
+        span = dimtime.agg(F.min("timeid").alias("first"), F.max("timeid").alias("last"))
+        return cls(span.select("first").scalar(), span.select("last").scalar())
+
+    @classmethod
+    def of_days(cls, bounds: DataFrame) -> Calendar:
+        """The range of one row (``first``, ``last``) of dates, both midnights included."""
+        midnight = [
+            bounds.select((tk.minute_key(name)).alias("key")).scalar() for name in ("first", "last")
+        ]
+        return cls(*midnight)
 
     def covers(self, key):
-        return key.between(tk.date_key(self.start), tk.date_key(self.end))
-
-
-# The range the reference design loads.
-DEFAULT_CALENDAR = Calendar(date(2022, 1, 1), date(2025, 12, 31))
+        return key.between(self.first, self.last)
 
 
 Dimension = DataFrame | Callable[[], DataFrame]
@@ -49,7 +63,8 @@ class Star:
     locations: Dimension
     payments: Dimension
     rates: Dimension
-    calendar: Calendar = DEFAULT_CALENDAR
+    times: Dimension
+    calendar: Calendar
 
     @property
     def dimlocation(self) -> DataFrame:
@@ -65,7 +80,7 @@ class Star:
 
     @property
     def dimtime(self) -> DataFrame:
-        return dimensions.dimtime(self.spark, self.calendar.start, self.calendar.end)
+        return _made(self.times)
 
     def good(self) -> DataFrame:
         return self.fact.filter(col("quality_issue") == GOOD)

@@ -76,6 +76,24 @@ def dimtime(spark: SparkSession, start: date, end: date) -> DataFrame:
         F.date_add(lit(start), tk.int_div(col("id"), MINUTES_PER_DAY).cast("int")).alias("Date"),
         (col("id") % MINUTES_PER_DAY).alias("minute_of_day"),
     )
+    return _minute_rows(grid)
+
+
+def dimtime_between(bounds: DataFrame) -> DataFrame:
+    """The same grid for one row (``first``, ``last``) of dates that a query works out itself.
+
+    Days are spread over tasks before each becomes its minutes.
+    """
+    days = bounds.select("last", F.explode(F.sequence("first", "last")).alias("Date"))
+    last_minute = F.when(col("Date") == col("last"), 0).otherwise(MINUTES_PER_DAY - 1)
+    return _minute_rows(
+        days.repartition("Date").select(
+            "Date", F.explode(F.sequence(lit(0), last_minute)).alias("minute_of_day")
+        )
+    )
+
+
+def _minute_rows(grid: DataFrame) -> DataFrame:
     day, minute = col("Date"), col("minute_of_day")
     hour = tk.int_div(minute, 60)
     return grid.select(

@@ -7,27 +7,28 @@ amounts. All parameters below are fixed values of that mapping.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
-from pyspark.sql.types import StructType
 
 
 # Minute of the day a trip starts.
 START = "(l_orderkey * 7 + l_linenumber * 131) % 1440"
 
 
-@cache
-def _schema(spark: SparkSession, path: str) -> StructType:
-    return spark.read.parquet(path).schema
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of the folder."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table of the folder. Its footer is read for the schema once per session."""
-    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+def day_span(df: DataFrame, ts: str, years: int = 0, days_after: int = 1) -> DataFrame:
+    """One row (``first``, ``last``): the first day of a timestamp, ``years`` later, and the day
+    ``days_after`` its last day, ``years`` earlier."""
+    day = col(ts).cast("date")
+    return df.agg(F.min(day).alias("first"), F.max(day).alias("last")).select(
+        F.add_months("first", 12 * years).alias("first"),
+        F.date_add(F.add_months("last", -12 * years), days_after).alias("last"),
+    )
 
 
 def _later(ts: Column, minutes: Column) -> Column:
