@@ -1,22 +1,30 @@
-"""Batch jobs for spark-submit.
+"""Batch jobs, run as a file so that spark-submit finds them.
 
-    spark-submit -m tripspark.jobs facts --bronze s3a://bronze/trips --start-date 2025-06-01
-    spark-submit -m tripspark.jobs dimensions --zones s3a://bronze/zones.csv
-    spark-submit -m tripspark.jobs gold
+    spark-submit tripspark/jobs.py facts --bronze s3a://bronze/trips --start-date 2025-06-01
+    spark-submit tripspark/jobs.py dimensions --zones s3a://bronze/zones.csv \\
+        --from-date 2022-01-01 --to-date 2025-12-31
+    spark-submit tripspark/jobs.py gold --start-date 2025-06-01
 """
 
 from __future__ import annotations
 
 import argparse
+import logging
+import os
 import sys
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.functions import col
 
-from tripspark.operators.star import DEFAULT_CALENDAR, Calendar
-from tripspark.plans import gold, silver
-from tripspark.session import CLUSTER_CONF, tune
-from tripspark.sinks.tables import create_namespace
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tripspark.plans import gold, silver  # noqa: E402
+from tripspark.session import CLUSTER_CONF  # noqa: E402
+from tripspark.sinks.tables import create_namespace, refresh_table  # noqa: E402
+
+log = logging.getLogger(__name__)
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -33,11 +41,17 @@ def parse(argv: list[str]) -> argparse.Namespace:
 
     dims = jobs.add_parser("dimensions", help="rebuild the four dimensions")
     dims.add_argument("--zones", required=True, help="zone lookup CSV")
-    dims.add_argument("--from-date", type=date.fromisoformat, default=DEFAULT_CALENDAR.start)
-    dims.add_argument("--to-date", type=date.fromisoformat, default=DEFAULT_CALENDAR.end)
+    dims.add_argument("--from-date", type=date.fromisoformat, required=True)
+    dims.add_argument(
+        "--to-date", type=date.fromisoformat, required=True, help="the last day, all of it"
+    )
 
-    rollups = jobs.add_parser("gold", help="rebuild the aggregate tables")
+    rollups = jobs.add_parser("gold", help="bring the aggregate tables up to date")
     rollups.add_argument("--gold-namespace", default="gold")
+    rollups.add_argument(
+        "--start-date", type=date.fromisoformat, help="first bronze day to read; default: all"
+    )
+    rollups.add_argument("--end-date", type=date.fromisoformat, help="last bronze day to read")
     return parser.parse_args(argv)
 
 
@@ -49,15 +63,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         outcome = silver.load_facts(
             spark, args.bronze, f"{args.namespace}.fact_trip", days, args.provider
         )
-        outcome.orderBy("source_date").show(1000, truncate=False)
+        # Worked out once and kept as a table, one row per planned day.
+        refresh_table(outcome, f"{args.namespace}.load_outcome", args.provider)
+        outcome = spark.table(f"{args.namespace}.load_outcome")
+        counts = outcome.agg(
+            F.count_if("success").alias("ok"), F.count_if(~col("success")).alias("failed"),
+            F.sum("rows").alias("rows"),
+        ).first()
+        log.warning("days loaded: %s, failed: %s, rows: %s", *counts)
         return 1 if silver.all_failed(outcome) else 0
     if args.job == "dimensions":
-        calendar = Calendar(args.from_date, args.to_date)
-        silver.build_dimensions(spark, args.zones, args.namespace, calendar, args.provider)
+        # Up to the midnight after the last day, so that all its minutes are there.
+        last = args.to_date + timedelta(days=1)
+        silver.build_dimensions(
+            spark, args.zones, args.namespace, args.from_date, last, args.provider
+        )
         return 0
-    gold.refresh_gold(
-        silver.star_from_tables(spark, args.namespace), args.gold_namespace, args.provider
-    )
+    star = silver.star_from_tables(spark, args.namespace)
+    gold.refresh_gold(star, args.gold_namespace, args.provider, args.start_date, args.end_date)
     return 0
 
 
@@ -66,7 +89,7 @@ def main() -> None:
     builder = SparkSession.builder.appName(f"tripspark-{args.job}")
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
-    spark = tune(builder.getOrCreate())
+    spark = builder.getOrCreate()
     code = run(spark, args)
     spark.stop()
     sys.exit(code)

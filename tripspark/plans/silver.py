@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
 from tripspark.functions import timekeys as tk
 from tripspark.functions.quality import add_quality_checks
-from tripspark.operators.star import DEFAULT_CALENDAR, Calendar, Star
+from tripspark.operators.star import Calendar, Star
 from tripspark.schemas import BRONZE_TRIP, FACT_TRIP, check_schema
 from tripspark.sinks import tables as sink
 from tripspark.sources import bronze, dimensions
 
+log = logging.getLogger(__name__)
+
+
+# Bits of a trip id: the day, the file among the day's files, the row in the file.
+FILE_BITS, ROW_BITS = 15, 32
+
 
 def trip_id(df: DataFrame):
     """A row id that stays the same when a day is loaded again.
 
-    It hashes the position of the row in its bronze file, or all bronze columns when the
-    position is unknown. Being deterministic it does not stop filters from moving below it.
+    It is the day of the bronze folder, the number of the file in it and the row's position in the
+    file, side by side, so no two rows share one. Days since 1970 fit until 2149; a day with more
+    files or a file with more rows than there are bits for raises. Rows that come
+    from no file get a hash of all bronze columns, which equal rows share.
     """
-    if "source_file" in df.columns:
-        return F.xxhash64("source_file", "source_row")
-    return F.xxhash64(*[col(f.name) for f in BRONZE_TRIP.fields if f.name in df.columns])
+    if "file_number" not in df.columns:
+        return F.xxhash64(*[col(f.name) for f in BRONZE_TRIP.fields if f.name in df.columns])
+    day = F.unix_date(bronze.source_date()).cast("long")
+    fits = (col("file_number") < 1 << FILE_BITS) & (col("source_row") < 1 << ROW_BITS)
+    parts = F.shiftleft(day, FILE_BITS + ROW_BITS).bitwiseOR(
+        F.shiftleft(col("file_number").cast("long"), ROW_BITS)
+    ).bitwiseOR(col("source_row"))
+    problem = F.raise_error(lit("a day has too many files, or a file too many rows, for trip ids"))
+    return F.when(fits, parts).otherwise(problem)
 
 
 def transform_trips(df: DataFrame, offset_years: int = 1) -> DataFrame:
@@ -111,42 +128,52 @@ def load_days(
     return LoadDays(start, end or start, offset_years)
 
 
-def date_plan(spark: SparkSession, days: LoadDays) -> DataFrame:
-    """One row per source day. Only the two bounds are shifted, so 29 February is kept."""
+def _bounds(spark: SparkSession, days: LoadDays) -> DataFrame:
+    """One row (first, last): the source days of the two bounds.
+
+    28 February also takes the 29th of the source year, which no target day maps to and
+    which a load of one day at a time would never read.
+    """
     months = -12 * days.offset_years
-    first, last = (F.add_months(lit(d), months) for d in (days.start, days.end))
-    bounds = spark.range(1).select(first.alias("first"), last.alias("last"))
+    last = F.greatest(
+        F.add_months(lit(days.end), months),
+        F.date_sub(F.add_months(lit(days.end + timedelta(days=1)), months), 1),
+    )
+    return spark.range(1).select(
+        F.add_months(lit(days.start), months).alias("first"), last.alias("last")
+    )
+
+
+def date_plan(bounds: DataFrame) -> DataFrame:
+    """One row per source day between the bounds; none if they are the wrong way round."""
     return bounds.filter(col("first") <= col("last")).select(
         F.explode(F.sequence("first", "last")).alias("source_date")
     )
 
 
 def source_bounds(spark: SparkSession, days: LoadDays) -> tuple[date, date]:
-    """First and last source day, shifted by the same calendar rule as the plan."""
-    months = -12 * days.offset_years
-    row = spark.range(1).select(
-        F.add_months(lit(days.start), months), F.add_months(lit(days.end), months)
-    ).first()
-    return row[0], row[1]
+    """First and last source day."""
+    row = _bounds(spark, days).first()
+    return row["first"], row["last"]
 
 
-def load_outcome(trips: DataFrame, days: LoadDays) -> DataFrame:
-    """Every planned day with its number of bronze rows; a day without any has failed."""
-    counts = (
-        trips.groupBy("year", "month", "day")
-        .agg(F.count(lit(1)).alias("rows"))
-        .withColumn("source_date", bronze.source_date())
-        .drop("year", "month", "day")
-    )
+def load_outcome(counts: DataFrame, bounds: DataFrame, offset_years: int = 1) -> DataFrame:
+    """Every planned day with its number of rows; a day without any has failed."""
     rows = F.coalesce(col("rows"), lit(0))
-    return date_plan(trips.sparkSession, days).join(counts, "source_date", "left").select(
+    return date_plan(bounds).join(counts, "source_date", "left").select(
         "source_date",
-        F.add_months("source_date", 12 * days.offset_years).alias("target_date"),
+        F.add_months("source_date", 12 * offset_years).alias("target_date"),
         rows.alias("rows"),
         (rows > 0).alias("success"),
     )
 
 
+def rows_per_day(trips: DataFrame) -> DataFrame:
+    """(source_date, rows) of trips with the directory columns."""
+    counts = trips.groupBy("year", "month", "day").agg(F.count(lit(1)).alias("rows"))
+    return counts.select(bronze.source_date().alias("source_date"), "rows")
+
+
 def all_failed(outcome: DataFrame) -> bool:
     """The job fails only if there were days to load and none of them succeeded."""
     row = outcome.agg(
@@ -155,6 +182,38 @@ def all_failed(outcome: DataFrame) -> bool:
     return row["days"] > 0 and row["ok"] == 0
 
 
+def write_days(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    files: dict[date, list[str]],
+    offset_years: int = 1,
+    provider: str = "parquet",
+) -> dict[date, str]:
+    """Write whole days; returns what went wrong on days that could not be written.
+
+    All days are one scan and one write. Only if that fails are they halved, so that a file
+    which cannot be read costs its own day and no other.
+    """
+    if not files:
+        return {}
+    try:
+        fact = transform_trips(bronze.read_days(spark, root, files), offset_years)
+        sink.overwrite_partitions(
+            fact, table, "source_date", provider, sort_by="PickupDateTimeID"
+        )
+        return {}
+    except (PySparkException, Py4JJavaError) as problem:
+        days = list(files)
+        if len(days) == 1:
+            return {days[0]: str(problem)[:500]}
+    failed: dict[date, str] = {}
+    for some in (days[: len(days) // 2], days[len(days) // 2 :]):
+        part = {day: files[day] for day in some}
+        failed |= write_days(spark, root, table, part, offset_years, provider)
+    return failed
+
+
 def load_facts(
     spark: SparkSession,
     bronze_root: str,
@@ -162,46 +221,60 @@ def load_facts(
     days: LoadDays,
     provider: str = "parquet",
 ) -> DataFrame:
-    """Load a range of days in one scan and one write; returns the outcome per day.
+    """Load a range of days; returns the outcome per day.
 
-    Days are replaced as whole partitions, so loading one twice does not duplicate it.
-    The row counts come from a scan of the bronze files without any column. Metrics
-    observed during the write would count a task twice if its executor were lost.
+    Days are replaced as whole partitions, so loading one twice does not duplicate it. The outcome
+    counts the rows that were written, not what the bronze folders hold by then; a day that
+    could not be read counts as failed, whatever an earlier load left of it.
     """
     first, last = source_bounds(spark, days)
-    trips = bronze.read_bronze(spark, bronze_root, first, last)
-    fact = transform_trips(trips, days.offset_years)
-    sink.overwrite_partitions(fact, table, "source_date", provider)
-    counted = bronze.read_bronze(spark, bronze_root, first, last, lineage=False)
-    return load_outcome(counted, days)
+    files = bronze.day_files(spark, bronze_root, first, last) if first <= last else {}
+    failed = write_days(spark, bronze_root, table, files, days.offset_years, provider)
+    for day, problem in failed.items():
+        log.warning("%s was not loaded: %s", day, problem)
+    written = [(day,) for day in files if day not in failed]
+    done = spark.createDataFrame(written, "source_date date")
+    if written:
+        counts = (
+            spark.table(table)
+            .filter(col("source_date").between(lit(written[0][0]), lit(written[-1][0])))
+            .groupBy("source_date")
+            .agg(F.count(lit(1)).alias("rows"))
+            .join(done, "source_date", "left_semi")
+        )
+    else:
+        counts = done.withColumn("rows", lit(0).cast("long"))
+    return load_outcome(counts, _bounds(spark, days), days.offset_years)
 
 
 def build_dimensions(
     spark: SparkSession,
     zones_path: str,
     namespace: str,
-    calendar: Calendar = DEFAULT_CALENDAR,
+    first: date,
+    last: date,
     provider: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Rebuild the four dimension tables and return them."""
+    """Rebuild the four dimension tables and return them. The minutes run from midnight of
+    ``first`` to midnight of ``last``."""
     sink.create_namespace(spark, namespace)
     frames = {
         "dimlocation": dimensions.dimlocation(spark, zones_path),
         "dimpayment": dimensions.dimpayment(spark),
         "dimratecode": dimensions.dimratecode(spark),
-        "dimtime": dimensions.dimtime(spark, calendar.start, calendar.end),
+        "dimtime": dimensions.dimtime(spark, first, last),
     }
     for name, df in frames.items():
         sink.refresh_table(df, f"{namespace}.{name}", provider)
     return {name: spark.table(f"{namespace}.{name}") for name in frames}
 
 
-def star_from_tables(
-    spark: SparkSession, namespace: str, calendar: Calendar = DEFAULT_CALENDAR
-) -> Star:
-    """The star over written silver tables."""
-    fact, location, payment, rate = (
+def star_from_tables(spark: SparkSession, namespace: str) -> Star:
+    """The star over written silver tables. Its calendar is what ``dimtime`` holds."""
+    fact, location, payment, rate, times = (
         spark.table(f"{namespace}.{name}")
-        for name in ("fact_trip", "dimlocation", "dimpayment", "dimratecode")
+        for name in ("fact_trip", "dimlocation", "dimpayment", "dimratecode", "dimtime")
+    )
+    return Star(
+        spark, check_schema(fact, FACT_TRIP), location, payment, rate, times, Calendar.of(times)
     )
-    return Star(spark, check_schema(fact, FACT_TRIP), location, payment, rate, calendar)

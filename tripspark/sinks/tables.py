@@ -7,6 +7,7 @@ only the table name (``catalog.namespace.table``) and ``provider`` differ.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 from pyspark.sql.types import StructType
 
+from tripspark.sources.csv_text import write_csv
+
 log = logging.getLogger(__name__)
 
 
@@ -91,29 +94,54 @@ def append_rows(df: DataFrame, name: str, schema: StructType | None = None) -> N
 
 
 def overwrite_partitions(
-    df: DataFrame, name: str, partition_by: str, provider: str = "parquet"
+    df: DataFrame,
+    name: str,
+    partition_by: str,
+    provider: str = "parquet",
+    rebalance: bool = True,
+    sort_by: str | None = None,
 ) -> None:
     """Replace only the partitions present in ``df``, so a second run changes nothing.
 
-    The rebalance step gives each partition value files near the advisory size: many
-    small source files are merged and one very large day is split over several tasks.
+    The rebalance step shuffles once and gives each partition value files near the advisory size:
+    many small source files are merged and one very large day is split over several tasks. Rows
+    sorted inside a file let a reader skip by the column's statistics.
     """
     spark = df.sparkSession
     others = [c for c in df.columns if c.lower() != partition_by.lower()]
     ordered = df.select(*others, partition_by)
     create_table(spark, name, ordered.schema, partition_by=[partition_by], provider=provider)
     ordered = ordered.select(*spark.table(name).columns)
-    balanced = ordered.hint("rebalance", partition_by)
+    balanced = ordered.hint("rebalance", partition_by) if rebalance else ordered
+    if sort_by is not None:
+        balanced = balanced.sortWithinPartitions(partition_by, sort_by)
     if _is_v2(spark, name):
         balanced.writeTo(name).overwritePartitions()
         return
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    _insert_partitions(balanced, name)
+
+
+def _insert_partitions(df: DataFrame, name: str) -> None:
+    """Overwrite the partitions of a table of the built-in catalog that ``df`` has.
+
+    Which partitions such a write replaces is a session setting, so the write runs in a session
+    of its own with the caller's other settings; the caller's, and writes that run beside, see
+    no change.
+    """
+    spark = df.sparkSession
+    view = f"rows_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
     try:
-        balanced.write.insertInto(name, overwrite=True)
+        session = spark.newSession()
+        for key, value in spark.conf.getAll.items():
+            if session.conf.isModifiable(key):
+                session.conf.set(key, value)
+        session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+        session.table(f"global_temp.{view}").write.insertInto(name, overwrite=True)
     finally:
-        spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(name)
 
 
 def overwrite_partition_files(df: DataFrame, path: str, partition_by: str) -> None:
@@ -128,7 +156,7 @@ def overwrite_partition_files(df: DataFrame, path: str, partition_by: str) -> No
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    write_csv(df, path)
 
 
 def export_rows(df: DataFrame, path: str, order_by: list[str]) -> None:
