@@ -7,34 +7,21 @@ attributes come from a real left join with the grid.
 from __future__ import annotations
 
 # Bucket edges with their labels, and calendar names.
-MILES = [(1, "0-1 mile"), (3, "1-3 miles"), (5, "3-5 miles"), (10, "5-10 miles")]
-DOLLARS = [(10, "0-10"), (20, "10-20"), (30, "20-30"), (50, "30-50")]
-TIPS = [(2, "0-2"), (5, "2-5"), (10, "5-10")]
-COARSE_TIPS = [(5, "0-5"), (10, "5-10")]
+DISTANCE = """CASE WHEN tripdistance <= 1 THEN '0-1 mile' WHEN tripdistance <= 3 THEN '1-3 miles'
+     WHEN tripdistance <= 5 THEN '3-5 miles' WHEN tripdistance <= 10 THEN '5-10 miles'
+     ELSE '10+ miles' END"""
+FARE = """CASE WHEN fareamount <= 10 THEN '0-10' WHEN fareamount <= 20 THEN '10-20'
+     WHEN fareamount <= 30 THEN '20-30' WHEN fareamount <= 50 THEN '30-50' ELSE '50+' END"""
+TIP = """CASE WHEN tipamount = 0 THEN 'No Tip' WHEN tipamount <= 2 THEN '0-2'
+     WHEN tipamount <= 5 THEN '2-5' WHEN tipamount <= 10 THEN '5-10' ELSE '10+' END"""
+COARSE_TIP = """CASE WHEN tipamount = 0 THEN 'No Tip' WHEN tipamount <= 5 THEN '0-5'
+     WHEN tipamount <= 10 THEN '5-10' ELSE '10+' END"""
 DAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 MONTHS = [
     "January", "February", "March", "April", "May", "June", "July", "August", "September",
     "October", "November", "December",
 ]
 
-
-def _bucket(column: str, edges: list[tuple[int, str]], rest: str) -> str:
-    """The label of the first edge a value does not exceed."""
-    numbers, labels = [e for e, _ in edges], [label for _, label in edges]
-    return (
-        f"coalesce(({labels})[list_position(list_transform({numbers}, lambda e: {column} <= e), "
-        f"true)], '{rest}')"
-    )
-
-
-def _tip(edges: list[tuple[int, str]]) -> str:
-    return f"CASE WHEN tipamount = 0 THEN 'No Tip' ELSE {_bucket('tipamount', edges, '10+')} END"
-
-
-DISTANCE = _bucket("tripdistance", MILES, "10+ miles")
-FARE = _bucket("fareamount", DOLLARS, "50+")
-TIP = _tip(TIPS)
-
 COMMON = f"""
 WITH bronze AS (
   SELECT
@@ -98,9 +85,13 @@ rate(ratecodeid, ratedescription) AS (
          (5, 'Negotiated fare'), (6, 'Group ride'), (7, 'Not recorded'),
          (99, 'Unknown or other')
 ),
+span AS (
+  SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders
+),
 minutes AS (
-  SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-03',
+  SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi + INTERVAL 1 DAY AS TIMESTAMP),
                                 INTERVAL 1 MINUTE)) AS ts
+  FROM span
 ),
 dimtime AS (
   SELECT CAST(strftime(ts, '%Y%m%d%H%M') AS BIGINT) AS timeid, CAST(ts AS DATE) AS trip_date,
@@ -130,23 +121,26 @@ joined AS (
 """
 
 
-def _r(value: str) -> str:
-    """The rounding that both sides apply to aggregated doubles."""
-    return f"floor(({value}) * 10000 + 0.500001) / 10000"
+def _total(column: str) -> str:
+    return f"CAST(SUM(CAST({column} AS DECIMAL(28, 6))) AS DOUBLE)"
 
 
-N = "COUNT(*) AS trip_count"
-AVG_FARE = _r("AVG(fareamount)") + " AS avg_fare"
-AVG_TIP = _r("AVG(tip_percentage)") + " AS avg_tip_percentage"
-AVG_REVENUE = _r("AVG(totalamount)") + " AS avg_revenue_per_trip"
+def _avg(column: str, name: str) -> str:
+    return f"{_total(column)} / COUNT({column}) AS {name}"
 
 
-def _sum(name: str = "total_revenue") -> str:
-    return _r("SUM(totalamount)") + f" AS {name}"
+N = "COUNT(*) AS trip_count"
+AVG_FARE = _avg("fareamount", "avg_fare")
+# Percentages are added up in whole millionths.
+AVG_TIP = (
+    "CAST(SUM(CAST(floor(tip_percentage * 1000000 + 0.5) AS DECIMAL(28, 0))) AS DOUBLE) / 1000000 "
+    "/ COUNT(tip_percentage) AS avg_tip_percentage"
+)
+AVG_REVENUE = _avg("totalamount", "avg_revenue_per_trip")
 
 
-def _avg(column: str, name: str) -> str:
-    return _r(f"AVG({column})") + f" AS {name}"
+def _sum(name: str = "total_revenue") -> str:
+    return f"{_total('totalamount')} AS {name}"
 
 
 def _grouped(source: str, keys: str, *measures: str, where: str = "") -> str:
@@ -161,8 +155,14 @@ def _select(columns: str, source: str = "joined", tail: str = "") -> str:
     return f"{COMMON} SELECT {columns} FROM {source} {tail}"
 
 
-SEASON = "coalesce((['Winter', 'Spring', 'Summer'])[trip_month % 12 // 3 + 1], 'Fall') AS season"
-QUARTER = "CAST(coalesce((trip_month + 2) // 3, 4) AS INTEGER) AS quarter"
+SEASON = (
+    "CASE WHEN trip_month IN (12, 1, 2) THEN 'Winter' WHEN trip_month IN (3, 4, 5) THEN 'Spring' "
+    "WHEN trip_month IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season"
+)
+QUARTER = (
+    "CASE WHEN trip_month IN (1, 2, 3) THEN 1 WHEN trip_month IN (4, 5, 6) THEN 2 "
+    "WHEN trip_month IN (7, 8, 9) THEN 3 ELSE 4 END AS quarter"
+)
 WEEKEND = "coalesce(day_of_week IN (0, 6), false) AS is_weekend"
 MONTH_NAME = f"({MONTHS})[trip_month]"
 FACT = (
@@ -188,11 +188,6 @@ KINDS = "payment_type, rate_description"
 HOURS = "trip_date, trip_year, trip_month, trip_hour"
 BUCKETS = "distance_category, fare_category"
 DERIVED = "duration AS trip_duration_minutes, tip_percentage"
-FIRST_1000 = (
-    "ORDER BY pickupdatetimeid, dropoffdatetimeid, pulocationid, dolocationid, ratecodeid, "
-    "paymenttypeid, passengercount, tripdistance, fareamount, tipamount, totalamount LIMIT 1000"
-)
-
 DAILY = _grouped("timed", "trip_date", N, AVG_FARE, _sum("daily_revenue"))
 BOROUGH = _grouped(
     "joined", "pickup_borough", N, _sum(), AVG_FARE, where="pickup_borough IS NOT NULL"
@@ -209,24 +204,32 @@ SELECTION = (
 def _share(grouped_key: str, source: str, where: str, measures: str, value: str, out: str) -> str:
     condition = f"WHERE {where}" if where else ""
     return f"""{COMMON}, g AS (
-  SELECT {grouped_key}, COUNT(*) AS trip_count, SUM(totalamount) AS revenue,
-         AVG(totalamount) AS per_trip
+  SELECT {grouped_key}, COUNT(*) AS trip_count, {_sum("revenue")},
+         {_avg("totalamount", "per_trip")}
   FROM {source} {condition} GROUP BY 1)
-SELECT {measures}, {_r(f"round({value} * 100.0::DOUBLE / SUM({value}) OVER (), 2)")} AS {out} FROM g"""
+SELECT {measures}, round({value} * 100.0::DOUBLE / SUM({value}) OVER (), 2) AS {out} FROM g"""
 
 
 def _histogram(column: str) -> str:
     return f"""{COMMON},
-span AS (SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM good),
+ends AS (SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM good),
 filled AS (
   SELECT CAST(least(floor(({column} - lo) * 20 / (hi - lo)), 19) AS BIGINT) AS bin,
          COUNT(*) AS n
-  FROM good, span GROUP BY 1)
-SELECT e.bin, {_r("lo + (hi - lo) * e.bin / 20")} AS bin_start,
-       {_r("lo + (hi - lo) * (e.bin + 1) / 20")} AS bin_end,
+  FROM good, ends GROUP BY 1)
+SELECT e.bin, lo + (hi - lo) * e.bin / 20 AS bin_start,
+       lo + (hi - lo) * (e.bin + 1) / 20 AS bin_end,
        CAST(coalesce(n, 0) AS BIGINT) AS trip_count
 FROM (SELECT unnest(generate_series(0, 19)) AS bin) e
-CROSS JOIN span LEFT JOIN filled ON e.bin = filled.bin"""
+CROSS JOIN ends LEFT JOIN filled ON e.bin = filled.bin"""
+
+
+def _partial(sql: str) -> str:
+    """The same query where the calendar lacks the first and the last year."""
+    return sql.replace("CAST(lo AS TIMESTAMP)", "CAST(lo + INTERVAL 1 YEAR AS TIMESTAMP)").replace(
+        "CAST(hi + INTERVAL 1 DAY AS TIMESTAMP)",
+        "CAST(hi - INTERVAL 1 YEAR + INTERVAL 1 DAY AS TIMESTAMP)",
+    )
 
 
 CHATS = """
@@ -263,6 +266,21 @@ SELECT CAST(strftime(t, '%Y%m%d%H%M') AS BIGINT) AS timeid, CAST(t AS DATE) AS "
 FROM grid
 """
 
+OBJECTS = """
+WITH source AS (
+  SELECT source || '/' || doc_id AS rel_path, strlen(text) AS length, doc_id, n_chars
+  FROM documents),
+target AS (
+  SELECT rel_path, n_chars AS length FROM source WHERE doc_id IN (SELECT doc_id FROM labels))
+"""
+
+VALIDATED = f"""{OBJECTS}, validated AS (
+  SELECT s.rel_path, s.length, t.length AS target_length,
+         CASE WHEN t.length IS NULL THEN 'missing' WHEN s.length <> t.length THEN 'size_mismatch'
+              ELSE 'ok' END AS status
+  FROM source s LEFT JOIN target t ON s.rel_path = t.rel_path)
+"""
+
 ORACLE: dict[str, str] = {
     "kpi_total_trips": _select("COUNT(*) AS total_trips", "good"),
     "kpi_total_revenue": _select(_sum(), "good"),
@@ -317,8 +335,7 @@ WHERE dropoff_borough IS NOT NULL GROUP BY 2""",
     ),
     "top_boroughs": _share(
         "pickup_borough AS borough", "joined", "pickup_borough IS NOT NULL",
-        f"borough, trip_count, {_r('revenue')} AS total_revenue, "
-        f"{_r('per_trip')} AS avg_revenue_per_trip",
+        "borough, trip_count, revenue AS total_revenue, per_trip AS avg_revenue_per_trip",
         "revenue", "revenue_percentage",
     ),
     "airport_trips": _grouped(
@@ -378,16 +395,13 @@ UNION ALL SELECT 'dimlocation', COUNT(*) FROM loc""",
         f"{CORE}, {PLACES}, pickup_service_zone, dropoff_service_zone, {KINDS}, {HOURS}, "
         f"trip_day, day_of_week, substr(day_name, 1, 3) AS day_name, "
         f"substr({MONTH_NAME}, 1, 3) AS month_name, {QUARTER}, {WEEKEND}, {BUCKETS}, "
-        f"{_tip(COARSE_TIPS)} AS tip_category, {DERIVED}"
+        f"{COARSE_TIP} AS tip_category, {DERIVED}"
     ),
     "trips_wide_dates": _select(
         f"{CORE}, {PLACES}, {KINDS}, {HOURS}, {BUCKETS}, day_of_week, day_name, {DERIVED}",
-        tail=FIRST_1000,
     ),
-    "trips_wide_buckets": _select(
-        f"{CORE}, {PLACES}, {KINDS}, {HOURS}, {BUCKETS}", tail=FIRST_1000
-    ),
-    "trips_wide_plain": _select(f"{CORE}, {PLACES}, {KINDS}, {HOURS}", tail=FIRST_1000),
+    "trips_wide_buckets": _select(f"{CORE}, {PLACES}, {KINDS}, {HOURS}, {BUCKETS}"),
+    "trips_wide_plain": _select(f"{CORE}, {PLACES}, {KINDS}, {HOURS}"),
     "trips_star": _select(f"{FACT_NAMES}, {PLACES}, {KINDS}, {HOURS}, trip_day"),
     "chart_total_trips": _select("COUNT(*) AS total_trips", "good"),
     "chart_total_revenue": _select(_sum(), "good"),
@@ -436,8 +450,9 @@ SELECT ratecodeid, ratedescription, COUNT(rate_code) AS trip_count
 FROM rate LEFT JOIN bronze ON ratecodeid = rate_code GROUP BY 1, 2""",
     "load_outcome": f"""{COMMON},
 plan AS (
-  SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-10', INTERVAL 1 DAY))
-              AS DATE) AS source_date),
+  SELECT CAST(unnest(generate_series(lo, hi + INTERVAL 7 DAY, INTERVAL 1 DAY)) AS DATE)
+         AS source_date
+  FROM span),
 counts AS (SELECT source_date, COUNT(*) AS n FROM bronze GROUP BY 1)
 SELECT plan.source_date, CAST(plan.source_date + INTERVAL 1 YEAR AS DATE) AS target_date,
        coalesce(n, 0) AS rows, coalesce(n, 0) > 0 AS success
@@ -463,7 +478,7 @@ FROM bronze JOIN loc ON pu = locationid""",
     "bronze_union_days": f"""{COMMON}
 SELECT COUNT(*) AS n FROM (
   SELECT * FROM bronze WHERE year(source_date) < 1998
-  UNION ALL SELECT * FROM bronze WHERE year(source_date) >= 1998)""",
+  UNION ALL SELECT * FROM bronze WHERE coalesce(year(source_date) >= 1998, true))""",
     "event_minute_keys": """
 SELECT event_id, CAST(strftime(ts, '%Y%m%d%H%M') AS BIGINT) AS minute_key,
        CAST(((CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 30) // 60) * 60 AS INTEGER)
@@ -494,5 +509,27 @@ JOIN supplier ON l_suppkey = s_suppkey
 JOIN part ON l_partkey = p_partkey
 JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey""",
-    "csv_roundtrip": "SELECT * FROM customer",
+    "csv_roundtrip": "SELECT * FROM documents",
+    "file_manifest": f"{OBJECTS} SELECT rel_path, length, 'bronze/' || rel_path AS key FROM source",
+    "file_new": f"""{OBJECTS}
+SELECT rel_path, length FROM source
+WHERE rel_path NOT IN (SELECT rel_path FROM target)""",
+    "file_validation": VALIDATED + "SELECT * FROM validated",
+    "file_verdict": VALIDATED + """
+SELECT COUNT(*) FILTER (WHERE status <> 'ok') AS errors,
+       COUNT(*) FILTER (WHERE status <> 'ok') = 0 AS valid FROM validated""",
+    "file_stats": f"""{OBJECTS}
+SELECT CASE WHEN t.rel_path IS NULL THEN 'new' ELSE 'skipped' END AS status, COUNT(*) AS files,
+       CAST(SUM(s.length) AS BIGINT) AS total_size_bytes
+FROM source s LEFT JOIN target t ON s.rel_path = t.rel_path GROUP BY 1""",
+    "file_md5": "SELECT source || '/' || doc_id AS rel_path, md5(text) AS md5 FROM documents",
 }
+
+for _name in (
+    "daily_trends", "daily_trends_joined", "seasonal_analysis", "hour_day_heatmap",
+):
+    ORACLE[f"{_name}_partial"] = _partial(ORACLE[_name])
+ORACLE["trips_wide_partial"] = _partial(ORACLE["trips_wide"]).replace(
+    ", true_minutes AS trip_true_minutes", ""
+)
+ORACLE["filtered_partial"] = _partial(ORACLE["filtered_dashboard"])

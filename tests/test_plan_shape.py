@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as spark_entry
 from tripspark.plans import catalogue, gold, wide
 
-QUERIES = spark_entry.queries()
+QUERIES = spark_entry.QUERIES
 
 
 def plan(df) -> str:
@@ -69,13 +69,18 @@ def test_zone_filter_turns_the_outer_join_into_an_inner_one(spark, sf_dir):
 
 
 def test_limit_runs_before_the_dimension_joins(spark, sf_dir):
-    text = plan(wide.trips_wide_plain(catalogue.star_of(spark, sf_dir)))
+    text = plan(wide.trips_wide_plain(catalogue.star_of(spark, sf_dir), n=1000))
     lines = text.splitlines()
     limit = next(i for i, line in enumerate(lines) if "TakeOrderedAndProject" in line)
     assert sum("LeftOuter" in line for line in lines[:limit]) == 4
     assert not any("LeftOuter" in line for line in lines[limit:])
 
 
+def test_wide_datasets_have_no_limit(spark, sf_dir):
+    for name in ("trips_wide_dates", "trips_wide_buckets", "trips_wide_plain"):
+        assert "Limit" not in plan(QUERIES[name](spark, sf_dir))
+
+
 def test_quality_report_reads_the_trips_once(spark, sf_dir):
     text = plan(QUERIES["quality_report"](spark, sf_dir))
     assert text.count("lineitem.parquet") == 1

@@ -12,7 +12,8 @@ from tripspark import session
 from tripspark.plans import catalogue, gold, samples, views
 from tripspark.schemas import CHATS, CONVERSATIONS
 from tripspark.sinks import tables as sink
-from tripspark.sources import bronze, tables
+from tripspark.sources import bronze, csv_text, tables
+from tripspark.sources.order_lines import read
 from tripspark.streaming import daily
 
 
@@ -112,13 +113,54 @@ def test_partition_files_are_replaced_not_added(spark, tmp_path):
 def test_csv_export_and_lineage(spark, tmp_path):
     path = str(tmp_path / "csv")
     sink.export_rows(spark.range(20).select((20 - col("id")).alias("n")), path, ["n"])
-    text = bronze.read_csv_strings(spark, path)
+    text = csv_text.read_csv_strings(spark, path)
     assert dict(text.dtypes) == {"n": "string"} and text.count() == 20
     spark.range(3).write.parquet(str(tmp_path / "p"))
     row = bronze.with_lineage(bronze.read_parquet(spark, str(tmp_path / "p")), "upload").first()
     assert row.source == "upload" and row.original_path.endswith(".parquet") and row.file_size > 0
 
 
+TEXTS = ["  pad  ", "two\nlines", "carriage\r\nreturn\rhere", "", " ", None, 'a "quoted" word', '"', "a,b",
+         "back\\slash \\N \\", "#not a comment", "ünï \u2028 漢", "\ttab", "NULL", "null", "\\\"x", "x\x00y"]
+
+
+def test_csv_gives_back_every_value(spark, tmp_path):
+    at = datetime(2024, 1, 2, 3, 4, 5, 123456)
+    rows = [(i, t, at, float(i) / 3, t) for i, t in enumerate(TEXTS)] + [(None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "n long, a string, at timestamp_ntz, d double, `b c` string")
+    csv_text.write_csv(df.repartition(3), str(tmp_path / "csv"))
+    text = csv_text.read_csv_strings(spark, str(tmp_path / "csv"))
+    back = text.select(*[col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_csv_refuses_the_text_that_marks_null(spark, tmp_path):
+    df = spark.createDataFrame([(csv_text.NULL_MARK,)], "a string")
+    with pytest.raises(Exception, match="marks NULL"):
+        csv_text.write_csv(df, str(tmp_path / "csv"))
+
+
+def test_calls_that_write_do_not_share_a_folder(spark, sf_dir):
+    a = catalogue.csv_roundtrip(spark, sf_dir)
+    b = catalogue.csv_roundtrip(spark, sf_dir)
+    assert not set(a.inputFiles()) & set(b.inputFiles())
+    assert a.exceptAll(spark.read.parquet(f"{sf_dir}/documents.parquet")).count() == 0
+
+
+def test_split_keeps_rows_whose_condition_is_unknown(spark):
+    df = spark.createDataFrame([(1,), (5,), (None,)], "v int")
+    yes, no = samples.split_by(df, col("v") < 3)
+    assert (yes.count(), no.count()) == (1, 2)
+
+
+def test_rewritten_tables_are_read_with_their_new_schema(spark, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    spark.range(3).write.parquet(path)
+    assert read(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).selectExpr("id AS a", "id AS b").write.mode("overwrite").parquet(path)
+    assert read(spark, str(tmp_path), "t").columns == ["a", "b"]
+
+
 def test_number_range(spark):
     df = samples.number_range(spark)
     assert df.count() == 1_000_000
@@ -142,31 +184,6 @@ def test_object_store_conf_has_no_secrets():
     assert not [k for k in conf if "key" in k or "secret" in k]
 
 
-def test_tune_keeps_a_chosen_limit(spark):
-    key = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(key)
-    try:
-        spark.conf.set(key, "65535")
-        assert session.tune(spark).conf.get(key) == "8000"
-        spark.conf.set(key, "20000")
-        assert session.tune(spark).conf.get(key) == "20000"
-    finally:
-        spark.conf.set(key, before)
-
-
-def test_tune_starts_large_shuffles_wide(spark, monkeypatch):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert session.tune(spark).conf.get(key, None) is None
-    monkeypatch.setattr(session, "CLUSTER_CORES", 1)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        assert session.tune(spark).conf.get(key) == str(8 * cores)
-        spark.conf.set(key, "5")
-        assert session.tune(spark).conf.get(key) == "5"
-    finally:
-        spark.conf.unset(key)
-
-
 def test_sql_over_the_views(spark, sf_dir):
     star = catalogue.star_of(spark, sf_dir)
     views.register_views(star)
@@ -194,7 +211,7 @@ def test_stream_loads_new_days_whole(spark, tmp_path):
     table = "silver_stream.fact_trip"
 
     def load():
-        daily.load_new_files(spark, root, table, state).awaitTermination()
+        daily.load_new_files(spark, root, table, state, files_per_batch=1).awaitTermination()
         return sorted(
             (r["source_date"].day, r["FareAmount"])
             for r in spark.table(table).select("source_date", "FareAmount").collect()

@@ -75,6 +75,11 @@ def content_hashes(spark: SparkSession, root: str, pattern: str = "*.parquet") -
     return files.select(_relative(root).alias("rel_path"), F.md5(col("content")).alias("md5"))
 
 
+def hashes(objects: DataFrame, content: str) -> DataFrame:
+    """MD5 of every object of a table with its content in a column."""
+    return objects.select("rel_path", F.md5(col(content).cast("binary")).alias("md5"))
+
+
 def is_empty(files: DataFrame) -> bool:
     """Whether there is nothing to load."""
     return files.isEmpty()

@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
 
+def _finite(value: Column) -> Column:
+    """False for NULL as well as for what has no place on a line."""
+    return F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), lit(False))
+
+
+def not_in_bins(df: DataFrame, column: str) -> DataFrame:
+    """One row: how many values are NULL, NaN or infinite."""
+    value = col(column).cast("double")
+    return df.agg(
+        F.count_if(value.isNull()).alias("nulls"),
+        F.count_if(F.isnan(value)).alias("nans"),
+        F.count_if(F.abs(value) == float("inf")).alias("infinite"),
+    )
+
+
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts in ``bins`` equal steps between the smallest and the largest value.
 
-    The maximum belongs to the last bin, empty bins are listed with zero, and NULLs are
-    not counted. The range is a scalar subquery and the bins one aggregate: both read a
-    single column and send a handful of rows per task to the shuffle, whatever the number
-    of distinct values.
+    The maximum belongs to the last bin and empty bins are listed with zero. NULL, NaN and
+    infinite values are in no bin; ``not_in_bins`` counts them. The range is a scalar subquery
+    and the bins one aggregate: both read a single column and send a handful of rows per task
+    to the shuffle, whatever the number of distinct values.
     """
-    values = df.filter(col(column).isNotNull()).select(col(column).cast("double").alias("value"))
+    values = df.select(col(column).cast("double").alias("value")).filter(_finite(col("value")))
     span = values.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     step = F.floor(F.try_divide((col("value") - lo) * bins, hi - lo))

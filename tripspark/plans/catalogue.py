@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -12,18 +13,14 @@ from pyspark.sql.functions import col, lit
 from tripspark.functions import timekeys as tk
 from tripspark.operators import files
 from tripspark.operators.filters import DashboardFilters, apply_filters, last_30_days
-from tripspark.operators.rounding import settle_doubles
 from tripspark.operators.star import Calendar, Star, bronze_zone_join
 from tripspark.plans import charts, gold, samples, silver, wide
-from tripspark.session import shared_dir, tune
+from tripspark.session import shared_dir
 from tripspark.sources import dimensions, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters of the registered queries. The calendar covers every order date of the
-# supplied tables; trips outside it would form a NULL group on both sides of the check.
-CALENDAR = Calendar(date(1995, 1, 1), date(2001, 8, 3))
-LOAD_DAYS = silver.LoadDays(date(1996, 1, 1), date(2002, 8, 10), offset_years=1)
+# Parameters of the registered queries.
 SPLIT_YEAR = 1998
 TEAM = 1001
 FILTERS = DashboardFilters(
@@ -37,21 +34,27 @@ RECENT = last_30_days(date(2001, 6, 30))
 BOROUGH = "ASIA"
 
 
-def star_of(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over trips derived from the order tables; nothing is written."""
-    tune(spark)
+def star_of(spark: SparkSession, sf_dir: str, years_cut: int = 0) -> Star:
+    """The star over trips derived from the order tables; nothing is written.
+
+    The calendar runs from the first order day to the midnight after the last one, less
+    ``years_cut`` years at either end; trips outside it have no time attributes.
+    """
+    bounds = order_lines.day_span(order_lines.read(spark, sf_dir, "orders"), "o_orderdate", years_cut)
     return Star(
         spark=spark,
         fact=silver.transform_trips(order_lines.bronze_trips(spark, sf_dir)),
         locations=lambda: order_lines.locations(spark, sf_dir),
         payments=lambda: dimensions.dimpayment(spark),
         rates=lambda: dimensions.dimratecode(spark),
-        calendar=CALENDAR,
+        times=lambda: dimensions.dimtime_between(bounds),
+        calendar=Calendar.of_days(bounds),
     )
 
 
-def aggregated(plan: Callable[[Star], DataFrame]) -> Query:
-    return lambda spark, sf_dir: settle_doubles(plan(star_of(spark, sf_dir)))
+def partial(plan: Callable[[Star], DataFrame]) -> Query:
+    """The same query where the calendar lacks the first and the last year of the trips."""
+    return lambda spark, sf_dir: plan(star_of(spark, sf_dir, years_cut=1))
 
 
 def rows(plan: Callable[[Star], DataFrame]) -> Query:
@@ -76,13 +79,8 @@ def fact_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dimtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minute calendar from the first event's day to the day after the last event."""
-    ts = col("ts").cast("date")
-    first, last = (
-        order_lines.read(spark, sf_dir, "events")
-        .agg(F.min(ts), F.date_add(F.max(ts), 1))
-        .first()
-    )
-    return dimensions.dimtime(spark, first, last)
+    events = order_lines.read(spark, sf_dir, "events")
+    return dimensions.dimtime_between(order_lines.day_span(events, "ts"))
 
 
 def dimlocation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +108,11 @@ def _with_counts(dim: DataFrame, counts: DataFrame, key: str, code: str) -> Data
 
 
 def load_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.load_outcome(order_lines.bronze_trips(spark, sf_dir), LOAD_DAYS)
+    """The outcome of loading every order day and the week after, which has no trips."""
+    orders = order_lines.read(spark, sf_dir, "orders")
+    counts = silver.rows_per_day(order_lines.bronze_trips(spark, sf_dir))
+    bounds = order_lines.day_span(orders, "o_orderdate", days_after=7)
+    return silver.load_outcome(counts, bounds)
 
 
 # --- raw data -------------------------------------------------------------------------
@@ -133,8 +135,7 @@ def count_by_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days before and from a given year, appended and counted: the whole table."""
     trips = order_lines.bronze_trips(spark, sf_dir)
-    early, late = col("year") < SPLIT_YEAR, col("year") >= SPLIT_YEAR
-    return samples.union_count(trips.filter(early), trips.filter(late))
+    return samples.union_count(*samples.split_by(trips, col("year") < SPLIT_YEAR))
 
 
 # --- events, chats, orders ------------------------------------------------------------
@@ -163,37 +164,56 @@ def conversation_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.conversation_chats(*order_lines.conversation_tables(spark, sf_dir), TEAM)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/tripspark/{name}-{uuid.uuid4().hex}"
+
+
 def conversation_chats_federated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples.federated_chats(*order_lines.conversation_tables(spark, sf_dir))
+    """Conversations of the given table with chats that a second source holds as ORC."""
+    conversations, chats = order_lines.conversation_tables(spark, sf_dir)
+    other = _folder(spark, "chats")
+    chats.write.orc(other)
+    return samples.federated_chats(conversations, spark.read.schema(chats.schema).orc(other))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers through CSV text and a table, cast back to their types."""
-    customers = order_lines.read(spark, sf_dir, "customer")
-    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/csv_roundtrip"
-    texts = samples.csv_roundtrip(customers, folder)
+    """Documents through CSV text and a table, cast back to their types."""
+    documents = order_lines.read(spark, sf_dir, "documents")
+    texts = samples.csv_roundtrip(documents, _folder(spark, "csv"))
     return texts.select(
-        *[col(f.name).cast(f.dataType).alias(f.name) for f in customers.schema.fields]
+        *[col(f.name).cast(f.dataType).alias(f.name) for f in documents.schema.fields]
     )
 
 
-# --- files ----------------------------------------------------------------------------
+# --- reconciliation -------------------------------------------------------------------
+
+
+def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the objects of a source: name, length in bytes and content."""
+    return order_lines.read(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "source", col("doc_id").cast("string")).alias("rel_path"),
+        F.octet_length("text").cast("long").alias("length"),
+        "doc_id",
+        "text",
+        "n_chars",
+    )
 
 
 def _listings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The table files, and a target that lacks some of them and has others cut short."""
-    source = files.manifest(spark, sf_dir)
-    target = source.filter(~col("rel_path").startswith("p")).select(
-        "rel_path",
-        F.when(col("rel_path").startswith("c"), col("length") - 1)
-        .otherwise(col("length"))
-        .alias("length"),
+    """All documents, and those that have a label, with their number of characters as length:
+    it differs from the bytes where a text is not ASCII."""
+    objects = _objects(spark, sf_dir)
+    there = order_lines.read(spark, sf_dir, "labels").select("doc_id").distinct()
+    target = objects.join(there, "doc_id", "left_semi")
+    return (
+        objects.select("rel_path", "length"),
+        target.select("rel_path", col("n_chars").alias("length")),
     )
-    return source, target
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.target_keys(files.manifest(spark, sf_dir), "bronze")
+    return files.target_keys(_listings(spark, sf_dir)[0], "bronze")
 
 
 def file_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,60 +233,60 @@ def file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.content_hashes(spark, sf_dir)
+    return files.hashes(_objects(spark, sf_dir), "text")
 
 
 # --- filtered dashboards --------------------------------------------------------------
 
 
 def filtered(plan: Callable[[Star], DataFrame], selection: DashboardFilters) -> Query:
-    return aggregated(lambda star: plan(apply_filters(star, selection)))
+    return rows(lambda star: plan(apply_filters(star, selection)))
 
 
 QUERIES: dict[str, Query] = {
     # indicators
-    "kpi_total_trips": aggregated(gold.kpi_total_trips),
-    "kpi_total_revenue": aggregated(gold.kpi_total_revenue),
-    "kpi_avg_fare": aggregated(gold.kpi_avg_fare),
-    "kpi_avg_tip_pct": aggregated(gold.kpi_avg_tip_pct),
-    "kpi_avg_distance": aggregated(gold.kpi_avg_distance),
-    "kpi_avg_duration": aggregated(gold.kpi_avg_duration),
-    "kpi_summary": aggregated(gold.kpi_summary),
+    "kpi_total_trips": rows(gold.kpi_total_trips),
+    "kpi_total_revenue": rows(gold.kpi_total_revenue),
+    "kpi_avg_fare": rows(gold.kpi_avg_fare),
+    "kpi_avg_tip_pct": rows(gold.kpi_avg_tip_pct),
+    "kpi_avg_distance": rows(gold.kpi_avg_distance),
+    "kpi_avg_duration": rows(gold.kpi_avg_duration),
+    "kpi_summary": rows(gold.kpi_summary),
     # time
-    "daily_trends": aggregated(gold.daily_trends),
-    "daily_trends_joined": aggregated(gold.daily_trends_joined),
-    "hourly_distribution": aggregated(gold.hourly_distribution),
-    "monthly_trends": aggregated(gold.monthly_trends),
-    "weekly_trends": aggregated(gold.weekly_trends),
-    "year_over_year": aggregated(gold.year_over_year),
-    "revenue_trends": aggregated(gold.revenue_trends),
-    "data_overview": aggregated(gold.data_overview),
-    "year_distribution": aggregated(gold.year_distribution),
-    "seasonal_analysis": aggregated(gold.seasonal_analysis),
-    "hour_day_heatmap": aggregated(gold.hour_day_heatmap),
-    "peak_hours": aggregated(gold.peak_hours),
+    "daily_trends": rows(gold.daily_trends),
+    "daily_trends_joined": rows(gold.daily_trends_joined),
+    "hourly_distribution": rows(gold.hourly_distribution),
+    "monthly_trends": rows(gold.monthly_trends),
+    "weekly_trends": rows(gold.weekly_trends),
+    "year_over_year": rows(gold.year_over_year),
+    "revenue_trends": rows(gold.revenue_trends),
+    "data_overview": rows(gold.data_overview),
+    "year_distribution": rows(gold.year_distribution),
+    "seasonal_analysis": rows(gold.seasonal_analysis),
+    "hour_day_heatmap": rows(gold.hour_day_heatmap),
+    "peak_hours": rows(gold.peak_hours),
     # places
-    "trips_by_borough": aggregated(gold.trips_by_borough),
-    "pickup_vs_dropoff": aggregated(gold.pickup_vs_dropoff),
-    "top_zones": aggregated(gold.top_zones),
-    "dropoff_density": aggregated(gold.dropoff_density),
-    "revenue_hour_borough": aggregated(gold.revenue_hour_borough),
-    "top_boroughs": aggregated(gold.top_boroughs),
-    "airport_trips": aggregated(gold.airport_trips),
+    "trips_by_borough": rows(gold.trips_by_borough),
+    "pickup_vs_dropoff": rows(gold.pickup_vs_dropoff),
+    "top_zones": rows(gold.top_zones),
+    "dropoff_density": rows(gold.dropoff_density),
+    "revenue_hour_borough": rows(gold.revenue_hour_borough),
+    "top_boroughs": rows(gold.top_boroughs),
+    "airport_trips": rows(gold.airport_trips),
     # money
-    "revenue_by_payment": aggregated(gold.revenue_by_payment),
-    "payment_analysis": aggregated(gold.payment_analysis),
-    "fare_distribution": aggregated(gold.fare_distribution),
-    "tip_analysis": aggregated(gold.tip_analysis),
+    "revenue_by_payment": rows(gold.revenue_by_payment),
+    "payment_analysis": rows(gold.payment_analysis),
+    "fare_distribution": rows(gold.fare_distribution),
+    "tip_analysis": rows(gold.tip_analysis),
     # operations
-    "distance_analysis": aggregated(gold.distance_analysis),
-    "passenger_distribution": aggregated(gold.passenger_distribution),
-    "rate_code_analysis": aggregated(gold.rate_code_analysis),
+    "distance_analysis": rows(gold.distance_analysis),
+    "passenger_distribution": rows(gold.passenger_distribution),
+    "rate_code_analysis": rows(gold.rate_code_analysis),
     "duration_vs_fare": rows(gold.duration_vs_fare),
     # gold tables and reports
-    "gold_daily": aggregated(gold.gold_daily),
-    "gold_borough": aggregated(gold.gold_borough),
-    "quality_report": aggregated(gold.quality_report),
+    "gold_daily": rows(gold.gold_daily),
+    "gold_borough": rows(gold.gold_borough),
+    "quality_report": rows(gold.quality_report),
     "table_inventory": rows(gold.table_inventory),
     "table_counts": rows(gold.table_counts),
     # wide datasets
@@ -278,20 +298,29 @@ QUERIES: dict[str, Query] = {
     "trips_wide_plain": without_id(wide.trips_wide_plain),
     "trips_star": without_id(wide.trips_star),
     # charts
-    "chart_total_trips": aggregated(charts.chart_total_trips),
-    "chart_total_revenue": aggregated(charts.chart_total_revenue),
-    "chart_daily": aggregated(charts.chart_daily),
-    "chart_hourly": aggregated(charts.chart_hourly),
-    "chart_hourly_true": aggregated(charts.chart_hourly_true),
-    "chart_borough": aggregated(charts.chart_borough),
-    "chart_payment_revenue": aggregated(charts.chart_payment_revenue),
-    "hist_distance": aggregated(charts.hist_distance),
-    "hist_fare": aggregated(charts.hist_fare),
+    "chart_total_trips": rows(charts.chart_total_trips),
+    "chart_total_revenue": rows(charts.chart_total_revenue),
+    "chart_daily": rows(charts.chart_daily),
+    "chart_hourly": rows(charts.chart_hourly),
+    "chart_hourly_true": rows(charts.chart_hourly_true),
+    "chart_borough": rows(charts.chart_borough),
+    "chart_payment_revenue": rows(charts.chart_payment_revenue),
+    "hist_distance": rows(charts.hist_distance),
+    "hist_fare": rows(charts.hist_fare),
     # filters
     "filtered_dashboard": filtered(gold.monthly_trends, FILTERS),
     "filtered_payments": filtered(gold.payment_analysis, FILTERS),
     "filtered_recent": filtered(gold.daily_trends, RECENT),
-    "drilldown_zones": aggregated(lambda star: gold.borough_zones(star, BOROUGH)),
+    "drilldown_zones": rows(lambda star: gold.borough_zones(star, BOROUGH)),
+    # trips outside the calendar
+    "daily_trends_partial": partial(gold.daily_trends),
+    "daily_trends_joined_partial": partial(gold.daily_trends_joined),
+    "seasonal_analysis_partial": partial(gold.seasonal_analysis),
+    "hour_day_heatmap_partial": partial(gold.hour_day_heatmap),
+    "trips_wide_partial": partial(lambda star: wide.trips_wide(star).drop("tripid")),
+    "filtered_partial": partial(
+        lambda star: gold.monthly_trends(apply_filters(star, FILTERS))
+    ),
     # silver
     "fact_trip": fact_trip,
     "fact_plain": fact_plain,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from tripspark.functions import timekeys as tk
+from tripspark.operators.exact import exact_sum
 from tripspark.operators.histogram import histogram
 from tripspark.operators.star import Star, with_payment, with_pickup, with_trip_key
 
@@ -20,7 +21,7 @@ def chart_total_trips(star: Star) -> DataFrame:
 
 
 def chart_total_revenue(star: Star) -> DataFrame:
-    return star.good().agg(F.sum("TotalAmount").alias("total_revenue"))
+    return star.good().agg(exact_sum("TotalAmount").alias("total_revenue"))
 
 
 def chart_daily(star: Star) -> DataFrame:
@@ -55,7 +56,7 @@ def chart_payment_revenue(star: Star) -> DataFrame:
     return (
         with_payment(star.good(), star)
         .groupBy("payment_type")
-        .agg(F.sum("TotalAmount").alias("total_revenue"))
+        .agg(exact_sum("TotalAmount").alias("total_revenue"))
     )
 
 

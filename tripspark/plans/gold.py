@@ -5,7 +5,9 @@ Each function takes a ``Star`` and joins only the dimensions its result shows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
@@ -13,6 +15,13 @@ from tripspark.functions import buckets, labels
 from tripspark.functions import timekeys as tk
 from tripspark.functions.quality import CORRUPTED, GOOD
 from tripspark.operators import shares
+from tripspark.operators.exact import (
+    PERCENT_STEPS,
+    exact_avg,
+    percent_steps,
+    sum_of_parts,
+    sum_parts,
+)
 from tripspark.operators.star import (
     Star,
     group_by_date,
@@ -22,6 +31,7 @@ from tripspark.operators.star import (
     with_rate,
     with_time,
     with_time_joined,
+    with_trip_key,
 )
 from tripspark.plans import measures as m
 from tripspark.sinks import tables as sink
@@ -36,8 +46,8 @@ def kpi_summary(star: Star) -> DataFrame:
         m.revenue(),
         m.avg_fare(),
         m.avg_tip_percentage(),
-        F.avg("TripDistance").alias("avg_distance"),
-        F.avg(m.true_duration()).alias("avg_duration_minutes"),
+        exact_avg("TripDistance").alias("avg_distance"),
+        exact_avg(m.true_duration()).alias("avg_duration_minutes"),
     )
 
 
@@ -88,16 +98,16 @@ def daily_trends_joined(star: Star) -> DataFrame:
     per_minute = star.good().groupBy("PickupDateTimeID").agg(
         F.count(lit(1)).alias("n"),
         F.count("FareAmount").alias("fares"),
-        F.sum("FareAmount").alias("fare"),
-        F.sum("TotalAmount").alias("revenue"),
+        *sum_parts("FareAmount", "fare"),
+        *sum_parts("TotalAmount", "revenue"),
     )
     return (
         with_time_joined(per_minute, star.dimtime)
         .groupBy("trip_date")
         .agg(
             F.sum("n").alias("trip_count"),
-            F.try_divide(F.sum("fare"), F.sum("fares")).alias("avg_fare"),
-            F.sum("revenue").alias("daily_revenue"),
+            F.try_divide(sum_of_parts("fare"), F.sum("fares")).alias("avg_fare"),
+            sum_of_parts("revenue").alias("daily_revenue"),
         )
         .orderBy("trip_date")
     )
@@ -141,7 +151,7 @@ def revenue_trends(star: Star) -> DataFrame:
         .groupBy(col("trip_year").alias("year"), col("trip_month").alias("month"))
         .agg(
             m.trips(), m.revenue("revenue"), m.avg_fare(),
-            F.avg("TripDistance").alias("avg_distance"),
+            exact_avg("TripDistance").alias("avg_distance"),
         )
         .orderBy("year", "month")
     )
@@ -287,8 +297,8 @@ def airport_trips(star: Star) -> DataFrame:
         .groupBy("pickup_zone", "rate_description")
         .agg(
             m.trips(), m.avg_fare(),
-            F.avg("TripDistance").alias("avg_distance"),
-            F.avg("PassengerCount").alias("avg_passengers"),
+            exact_avg("TripDistance").alias("avg_distance"),
+            exact_avg("PassengerCount").alias("avg_passengers"),
         )
         .orderBy("pickup_zone", "rate_description")
     )
@@ -346,8 +356,8 @@ def distance_analysis(star: Star) -> DataFrame:
         .groupBy(buckets.distance_category(col("TripDistance")).alias("distance_category"))
         .agg(
             m.trips(), m.avg_fare(),
-            F.avg(m.duration()).alias("avg_duration_minutes"),
-            F.avg(m.true_duration()).alias("avg_true_minutes"),
+            exact_avg(m.duration()).alias("avg_duration_minutes"),
+            exact_avg(m.true_duration()).alias("avg_true_minutes"),
         )
         .orderBy(buckets.rank_of("distance_category", buckets.DISTANCE_ORDER))
     )
@@ -402,11 +412,79 @@ def gold_borough(star: Star) -> DataFrame:
     return _by_borough(star).groupBy("pickup_borough").agg(m.trips(), m.revenue(), m.avg_fare())
 
 
-def refresh_gold(star: Star, namespace: str, provider: str = "parquet") -> None:
-    """Rebuild the two aggregate tables the dashboards read."""
-    sink.create_namespace(star.spark, namespace)
-    sink.refresh_table(gold_daily(star), f"{namespace}.daily_aggregations", provider)
-    sink.refresh_table(gold_borough(star), f"{namespace}.borough_aggregations", provider)
+def gold_parts(star: Star) -> DataFrame:
+    """What each load day adds to the aggregate tables, per pickup date and borough.
+
+    A day without any good trip still has rows, so that a reload replaces what it had before.
+    """
+    good = col("quality_issue") == GOOD
+    percent = buckets.tip_percentage(col("TipAmount"), col("FareAmount"))
+
+    def when_good(value: Column) -> Column:
+        return F.when(good, value)
+
+    trips = with_pickup(with_trip_key(star.fact, star), star)
+    day = tk.int_div(col("trip_key"), 10_000)
+    return (
+        trips.groupBy("source_date", day.alias("day_number"), "pickup_borough")
+        .agg(
+            F.count_if(good).alias("trip_count"),
+            F.count(when_good(col("FareAmount"))).alias("fares"),
+            F.count(when_good(percent)).alias("percents"),
+            *sum_parts(when_good(col("FareAmount")), "fare"),
+            *sum_parts(when_good(col("TotalAmount")), "revenue"),
+            *sum_parts(percent_steps(when_good(percent)), "percent"),
+        )
+        .withColumn("trip_date", tk.key_date(col("day_number") * 10_000))
+        .drop("day_number")
+    )
+
+
+def _from_parts(parts: DataFrame, key: str, revenue: str, *more: Column) -> DataFrame:
+    return (
+        parts.groupBy(key)
+        .agg(
+            F.sum("trip_count").alias("trip_count"),
+            sum_of_parts("revenue").alias(revenue),
+            F.try_divide(sum_of_parts("fare"), F.sum("fares")).alias("avg_fare"),
+            *more,
+        )
+        .filter("trip_count > 0")
+    )
+
+
+def refresh_gold(
+    star: Star,
+    namespace: str,
+    provider: str = "parquet",
+    first: date | None = None,
+    last: date | None = None,
+) -> None:
+    """Bring the two aggregate tables the dashboards read up to date.
+
+    With bounds only the trips loaded from the bronze days ``first`` to ``last`` are read. Their
+    parts replace those days in ``trip_parts``, a few rows per day, from which both tables are made.
+    """
+    spark = star.spark
+    sink.create_namespace(spark, namespace)
+    fact = star.fact
+    if first is not None:
+        fact = fact.filter(col("source_date") >= lit(first))
+    if last is not None:
+        fact = fact.filter(col("source_date") <= lit(last))
+    parts = f"{namespace}.trip_parts"
+    sink.overwrite_partitions(gold_parts(star.with_fact(fact)), parts, "source_date", provider)
+    tip = F.try_divide(sum_of_parts("percent") / PERCENT_STEPS, F.sum("percents"))
+    daily = _from_parts(
+        spark.table(parts), "trip_date", "daily_revenue", tip.alias("avg_tip_percentage")
+    )
+    boroughs = spark.table(parts).filter("pickup_borough IS NOT NULL")
+    sink.refresh_table(daily, f"{namespace}.daily_aggregations", provider)
+    sink.refresh_table(
+        _from_parts(boroughs, "pickup_borough", "total_revenue"),
+        f"{namespace}.borough_aggregations",
+        provider,
+    )
 
 
 # --- reports --------------------------------------------------------------------------

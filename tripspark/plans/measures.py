@@ -7,6 +7,7 @@ from pyspark.sql.functions import col, lit
 
 from tripspark.functions import timekeys as tk
 from tripspark.functions.buckets import tip_percentage
+from tripspark.operators.exact import avg_percent, exact_avg, exact_sum
 
 
 def trips():
@@ -14,19 +15,20 @@ def trips():
 
 
 def avg_fare():
-    return F.avg("FareAmount").alias("avg_fare")
+    return exact_avg("FareAmount").alias("avg_fare")
 
 
 def revenue(name: str = "total_revenue"):
-    return F.sum("TotalAmount").alias(name)
+    return exact_sum("TotalAmount").alias(name)
 
 
 def avg_revenue():
-    return F.avg("TotalAmount").alias("avg_revenue_per_trip")
+    return exact_avg("TotalAmount").alias("avg_revenue_per_trip")
 
 
 def avg_tip_percentage():
-    return F.avg(tip_percentage(col("TipAmount"), col("FareAmount"))).alias("avg_tip_percentage")
+    percent = tip_percentage(col("TipAmount"), col("FareAmount"))
+    return avg_percent(percent).alias("avg_tip_percentage")
 
 
 def duration():

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from tripspark.operators.filters import by_team
 from tripspark.sinks import tables as sink
-from tripspark.sources.bronze import read_csv_strings
+from tripspark.sources.csv_text import read_csv_strings
 from tripspark.sources.order_lines import read
 
 
@@ -106,10 +106,16 @@ def number_range(spark, n: int = 1_000_000) -> DataFrame:
     return plus_columns(spark.range(n), "id")
 
 
+def split_by(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows for which a condition holds, and all others, NULL included."""
+    holds = F.coalesce(condition, F.lit(False))
+    return df.filter(holds), df.filter(~holds)
+
+
 def csv_roundtrip(df: DataFrame, folder: str) -> DataFrame:
     """Write a table as CSV, load the CSV as text into a second table and read it back."""
     spark = df.sparkSession
     sink.export_csv(df, f"{folder}/csv")
     texts = read_csv_strings(spark, f"{folder}/csv")
     texts.write.mode("overwrite").parquet(f"{folder}/table")
-    return spark.read.parquet(f"{folder}/table")
+    return spark.read.schema(texts.schema).parquet(f"{folder}/table")

@@ -40,10 +40,14 @@ def _joined(trips: DataFrame, star: Star) -> DataFrame:
     return with_time(with_rate(with_payment(df, star), star), star)
 
 
-def _first_joined(star: Star, n: int) -> DataFrame:
-    """The first ``n`` trips, then the joins: each dimension key is unique, so joining
-    first would give the same rows after joining the whole fact."""
-    return _joined(star.good().orderBy(*STABLE_ORDER).limit(n), star)
+def _first_joined(star: Star, n: int | None) -> DataFrame:
+    """All good trips with their dimensions, or the first ``n`` where a caller wants a preview.
+
+    A limit comes before the joins: each dimension key is unique, so joining first would
+    give the same rows after joining the whole fact.
+    """
+    trips = star.good()
+    return _joined(trips if n is None else trips.orderBy(*STABLE_ORDER).limit(n), star)
 
 
 def _fields(names: list[str]) -> list[Column]:
@@ -118,18 +122,18 @@ def trips_wide_short(star: Star) -> DataFrame:
     )
 
 
-def trips_wide_dates(star: Star, n: int = 1000) -> DataFrame:
+def trips_wide_dates(star: Star, n: int | None = None) -> DataFrame:
     return with_day_of_week(_first_joined(star, n)).select(
         *_fields(CORE), *PLACES, *KINDS, *HOURS, *_buckets(),
         "day_of_week", "day_name", *_derived(),
     )
 
 
-def trips_wide_buckets(star: Star, n: int = 1000) -> DataFrame:
+def trips_wide_buckets(star: Star, n: int | None = None) -> DataFrame:
     return _first_joined(star, n).select(*_fields(CORE), *PLACES, *KINDS, *HOURS, *_buckets())
 
 
-def trips_wide_plain(star: Star, n: int = 1000) -> DataFrame:
+def trips_wide_plain(star: Star, n: int | None = None) -> DataFrame:
     return _first_joined(star, n).select(*_fields(CORE), *PLACES, *KINDS, *HOURS)
 
 

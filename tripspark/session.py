@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 
 from pyspark.sql import SparkSession
 
 # Settings the jobs rely on at scale. AQE converts joins to broadcast from measured
-# sizes, splits skewed join partitions and coalesces small ones.
+# sizes, splits skewed join partitions and coalesces small ones. How many partitions a shuffle
+# starts with (spark.sql.shuffle.partitions) is the caller's choice: some eight per core.
 # HotSpot never compiles methods over 8000 bytes, so a wide query whose generated method
 # exceeds that must fall back to one method per operator instead of being interpreted.
 CLUSTER_CONF = {
@@ -21,11 +23,6 @@ CLUSTER_CONF = {
 }
 
 
-# From this many cores on a session counts as a cluster.
-CLUSTER_CORES = 64
-PARTITIONS_PER_CORE = 8
-
-
 def object_store_catalog_conf(
     catalog: str,
     uri: str,
@@ -79,34 +76,19 @@ def local_session(
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Settle two settings a session has left at their defaults.
-
-    The generated-method limit, see above; and on a cluster the number of partitions a
-    shuffle starts with, which AQE then merges down to the advisory size. The default of
-    200 would give each task of a very large join far more than fits in memory.
-    """
-    limit = "spark.sql.codegen.hugeMethodLimit"
-    if spark.conf.get(limit) == "65535":
-        spark.conf.set(limit, CLUSTER_CONF[limit])
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    cores = spark.sparkContext.defaultParallelism
-    if cores >= CLUSTER_CORES and spark.conf.get(initial, None) is None:
-        chosen = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(initial, str(max(chosen, PARTITIONS_PER_CORE * cores)))
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the one named in spark.checkpoint.dir.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Only a session whose driver is its one machine, as in tests, gets a folder of its own. It goes
+    when the process ends.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tripspark-"))
+    folder = tempfile.TemporaryDirectory(prefix="tripspark-")
+    atexit.register(folder.cleanup)
+    context.setCheckpointDir(folder.name)
     return context.getCheckpointDir().rstrip("/")
