@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -92,3 +94,28 @@ def shared_dir(spark: SparkSession) -> str:
     atexit.register(folder.cleanup)
     context.setCheckpointDir(folder.name)
     return context.getCheckpointDir().rstrip("/")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, as spark-submit --py-files does.
+
+    Done once per application; workers then find it whatever folder or path they start with.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.TemporaryDirectory(prefix="tripspark-")
+    atexit.register(folder.cleanup)
+    path = os.path.join(folder.name, "tripspark.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for top, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
