@@ -7,11 +7,13 @@ stage at most and the last stage, packing, reads files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripspark.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from tripspark.llm.common import read, stored
+from tripspark.session import ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,12 +43,23 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 
 
+def shipped(stage: Stage) -> Stage:
+    """The stage, with the package on the workers of its session."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", good_documents),
-    ("line_dedup", own_lines),
-    ("simhash_near_dedup", near_distinct),
-    ("decontamination", clean_documents),
-    ("packing", sequences),
+    ("quality_rules", shipped(good_documents)),
+    ("line_dedup", shipped(own_lines)),
+    ("simhash_near_dedup", shipped(near_distinct)),
+    ("decontamination", shipped(clean_documents)),
+    ("packing", shipped(sequences)),
 ]
 
 # The trees of the first stage cannot be expressed in SQL; tests hold the stages against brute

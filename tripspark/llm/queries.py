@@ -19,13 +19,19 @@ from tripspark.llm import (
     warc,
 )
 from tripspark.llm.common import read
+from tripspark.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def over(operator: Callable[..., DataFrame], *tables: str) -> Query:
     """A query that gives the operator the named tables, whole."""
-    return lambda spark, sf_dir: operator(*(read(spark, sf_dir, t) for t in tables))
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return operator(*(read(spark, sf_dir, t) for t in tables))
+
+    return query
 
 
 QUERIES: dict[str, Query] = {
