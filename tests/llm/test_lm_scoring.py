@@ -57,8 +57,9 @@ def brute(rows, target):
     return out
 
 
-@pytest.mark.parametrize("words", [3, 40])
-def test_scores(spark, monkeypatch, words):
+@pytest.mark.parametrize(("words", "shared"), [(3, 10**6), (40, 10**6), (40, 0)])
+def test_scores(spark, monkeypatch, words, shared):
+    monkeypatch.setattr(lm_scoring, "SHARED_IDS", shared)
     monkeypatch.setattr(lm_scoring.vocabulary, "__defaults__", (words,))
     monkeypatch.setattr(lm_scoring, "WORDS", words)
     rng = random.Random(1)

@@ -7,7 +7,7 @@ background's counts are scaled to the target's total, so that a difference betwe
 is one of distribution and not of size. A document's score is the mean over its words of
 the target's loss less the background's; the lower, the more it reads like the target.
 
-Counts are taken over all documents, combined per task and summed by Spark. Each model is a square of
+Counts are taken over all documents, combined per task and summed by Spark; no text is shuffled. Each model is a square of
 (1 + WORDS + CLASSES) classes, so what a task holds is fixed by the parameters, not by the data;
 it is built by Spark a row of the square at a time.
 
@@ -36,6 +36,7 @@ CLASSES = 511
 PSEUDO = 20.0  # weight of the unigram model inside the bigram model, in counts
 FLOOR = 0.5  # added to each class's count
 START = 0
+SHARED_IDS = 4_000_000  # target ids that are given to every task, 8 bytes each
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -94,17 +95,36 @@ class Classes(dict):
         return before * self.size + at
 
 
+def _marked(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
+    """Rows of (mark, text), and the sorted target ids where the mark is a doc_id to look up.
+
+    Up to SHARED_IDS target ids every task gets them all, so no text is moved. Beyond that the
+    mark is a flag that a join sets.
+    """
+    slim = docs.select(col("doc_id").cast("long").alias("doc_id"), "text")
+    target = target.distinct()
+    if target.count() <= SHARED_IDS:
+        return slim, np.sort(target.toArrow()["doc_id"].to_numpy())
+    joined = slim.join(target.withColumn("is_target", F.lit(1).cast("long")), "doc_id", "left")
+    return joined.select("is_target", "text"), None
+
+
 def count_pairs(docs: DataFrame, target: DataFrame, classes: Classes) -> DataFrame:
-    """(before, word, background, target): how often each pair of classes occurs in all
-    documents and in the target documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+    """(pair, background, target): how often each pair of classes, numbered before * size + word,
+    occurs in all documents and in the target documents."""
+    rows_in, ids = _marked(docs, target)
+    shared = docs.sparkSession.sparkContext.broadcast((classes, ids))
     size = classes.size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, ids = shared.value
         totals = np.zeros((2, size * size), np.int32)
         for batch in sliced(batches, "text"):
-            chosen = batch.column(0).to_pylist()
+            marks = batch.column(0)
+            if ids is None:
+                chosen = marks.is_valid().to_pylist()
+            else:
+                chosen = pa.compute.is_in(marks, value_set=pa.array(ids)).to_pylist()
             for text, is_target in zip(texts(batch), chosen, strict=True):
                 pairs = known.pairs(text)
                 np.add.at(totals[0], pairs, 1)
@@ -115,21 +135,16 @@ def count_pairs(docs: DataFrame, target: DataFrame, classes: Classes) -> DataFra
             some = at[start : start + 200_000]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((some // size).astype(np.int32)),
-                    pa.array((some % size).astype(np.int32)),
+                    pa.array(some.astype(np.int32)),
                     pa.array(totals[0, some].astype(np.int64)),
                     pa.array(totals[1, some].astype(np.int64)),
                 ],
-                ["before", "word", "background", "target"],
+                ["pair", "background", "target"],
             )
 
-    marked = docs.select(col("doc_id").cast("long").alias("doc_id"), "text").join(
-        target.withColumn("is_target", F.lit(True)), "doc_id", "left"
-    )
     return (
-        marked.select("is_target", "text")
-        .mapInArrow(count, "before int, word int, background long, target long")
-        .groupBy("before", "word")
+        rows_in.mapInArrow(count, "pair int, background long, target long")
+        .groupBy("pair")
         .agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
     )
 
@@ -141,7 +156,12 @@ def losses(counts: np.ndarray, before: np.ndarray, unigram: np.ndarray) -> np.nd
 
 def model(pairs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The losses of both models as squares [before, word], 4 * size * size bytes each."""
-    pairs = stored(pairs, "pairs")
+    pairs = stored(pairs, "pairs").select(
+        F.expr(f"pair DIV {size}").alias("before"),
+        F.expr(f"pair % {size}").alias("word"),
+        "background",
+        "target",
+    )
     totals = pairs.groupBy("word").agg(F.sum("background").alias("b"), F.sum("target").alias("t"))
     found = totals.toArrow()  # a row per class
     counts = np.zeros((2, size))
@@ -176,7 +196,7 @@ def model(pairs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             F.collect_list(F.struct("word", "background", col(column).alias("target"))).alias("p")
         )
         .select("before", "p.word", "p.background", "p.target")
-        .mapInArrow(row_losses, "before int, b binary, t binary")
+        .mapInArrow(row_losses, "before long, b binary, t binary")
         .toArrow()
     )
     # Classes that never come before another have the unigram model.
