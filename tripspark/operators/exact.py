@@ -1,50 +1,70 @@
 """Sums and averages that do not depend on the order in which tasks finish.
 
-A double is added up as DECIMAL with six places, so any order gives the same sum. Where a value
-does not fit (NaN, infinite, beyond 22 digits) the plain sum of doubles takes over, which then
-has no exact counterpart anyway.
+A double is added up as a whole number and millionths of one, both in long arithmetic, which any
+order gives the same; the two meet as DECIMAL once per group. Where a value does not fit (NaN,
+infinite, from 1e18 on) the plain sum of doubles takes over, which then has no exact counterpart
+anyway.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import col
+from pyspark.sql.functions import col, lit
 
-EXACT = "decimal(28,6)"
-PERCENT_STEPS = 1_000_000  # a percentage is added up in whole millionths
+STEPS = 1_000_000  # parts of a whole that are told apart
+LARGEST = 1e18
 
 
 def _column(value: str | Column) -> Column:
-    return col(value) if isinstance(value, str) else value
+    return (col(value) if isinstance(value, str) else value).cast("double")
+
+
+def _fits(value: Column) -> Column:
+    return F.abs(value) < LARGEST  # false for NaN, which is larger than any number
+
+
+def _limbs(value: Column) -> tuple[Column, Column]:
+    """The whole number below a value and the millionths above it, halves up."""
+    value = F.when(_fits(value), value)
+    whole = F.floor(value)
+    return whole, F.floor((value - whole) * STEPS + 0.5)
+
+
+def _settled(odd: Column, whole: Column, part: Column, plain: Column) -> Column:
+    exact = whole.cast("decimal(28,6)") + part.cast("decimal(20,0)") * lit(Decimal("0.000001"))
+    return F.when((odd > 0) | whole.isNull() | part.isNull(), plain).otherwise(
+        exact.cast("double")
+    )
 
 
 def sum_parts(value: str | Column, name: str) -> list[Column]:
     """What a first aggregation keeps so that ``sum_of_parts`` can add up further."""
     value = _column(value)
-    exact = value.try_cast(EXACT)
+    whole, part = _limbs(value)
     return [
-        F.try_sum(exact).alias(f"{name}_exact"),
+        F.try_sum(whole).alias(f"{name}_whole"),
+        F.try_sum(part).alias(f"{name}_part"),
         F.sum(value).alias(f"{name}_plain"),
-        F.count_if(value.isNotNull() & exact.isNull()).alias(f"{name}_odd"),
+        F.count_if(~_fits(value)).alias(f"{name}_odd"),
     ]
 
 
-def _settled(odd: Column, exact: Column, plain: Column) -> Column:
-    return F.when((odd > 0) | exact.isNull(), plain).otherwise(exact.cast("double"))
-
-
 def sum_of_parts(name: str) -> Column:
     return _settled(
-        F.sum(f"{name}_odd"), F.try_sum(f"{name}_exact"), F.sum(f"{name}_plain")
+        F.sum(f"{name}_odd"),
+        F.try_sum(f"{name}_whole"),
+        F.try_sum(f"{name}_part"),
+        F.sum(f"{name}_plain"),
     )
 
 
 def exact_sum(value: str | Column) -> Column:
     value = _column(value)
-    exact = value.try_cast(EXACT)
-    odd = F.count_if(value.isNotNull() & exact.isNull())
-    return _settled(odd, F.try_sum(exact), F.sum(value.cast("double")))
+    whole, part = _limbs(value)
+    return _settled(F.count_if(~_fits(value)), F.try_sum(whole), F.try_sum(part), F.sum(value))
 
 
 def exact_avg(value: str | Column) -> Column:
@@ -52,20 +72,18 @@ def exact_avg(value: str | Column) -> Column:
     return F.try_divide(exact_sum(value), F.count(_column(value)))
 
 
+def whole_avg(value: str | Column) -> Column:
+    """The average of whole numbers, whose sum is exact as it is."""
+    value = col(value) if isinstance(value, str) else value
+    return F.try_divide(F.sum(value.cast("long")), F.count(value))
+
+
 def percent_steps(value: Column) -> Column:
-    """A percentage in whole steps, halves up: the same number in any engine."""
-    return F.floor(value * PERCENT_STEPS + 0.5)
+    """A percentage in whole millionths, halves up: the same number in any engine."""
+    steps = F.floor(value * STEPS + 0.5).cast("double")
+    return F.when(F.abs(value) < LARGEST / STEPS, steps).otherwise(value)
 
 
 def avg_percent(value: Column) -> Column:
     """The average of percentages, each taken to six places."""
-    steps = percent_steps(F.when(~_odd_percent(value), value)).cast("decimal(20,0)")
-    total = F.try_sum(steps).cast("double") / PERCENT_STEPS
-    plain = F.avg(value)
-    return F.when(F.count_if(_odd_percent(value)) > 0, plain).otherwise(
-        F.try_divide(total, F.count(value))
-    )
-
-
-def _odd_percent(value: Column) -> Column:
-    return F.isnan(value) | (F.abs(value) > 1e12)
+    return F.try_divide(exact_sum(percent_steps(value)) / STEPS, F.count(value))

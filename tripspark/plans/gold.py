@@ -16,11 +16,12 @@ from tripspark.functions import timekeys as tk
 from tripspark.functions.quality import CORRUPTED, GOOD
 from tripspark.operators import shares
 from tripspark.operators.exact import (
-    PERCENT_STEPS,
+    STEPS,
     exact_avg,
     percent_steps,
     sum_of_parts,
     sum_parts,
+    whole_avg,
 )
 from tripspark.operators.star import (
     Star,
@@ -47,7 +48,7 @@ def kpi_summary(star: Star) -> DataFrame:
         m.avg_fare(),
         m.avg_tip_percentage(),
         exact_avg("TripDistance").alias("avg_distance"),
-        exact_avg(m.true_duration()).alias("avg_duration_minutes"),
+        whole_avg(m.true_duration()).alias("avg_duration_minutes"),
     )
 
 
@@ -298,7 +299,7 @@ def airport_trips(star: Star) -> DataFrame:
         .agg(
             m.trips(), m.avg_fare(),
             exact_avg("TripDistance").alias("avg_distance"),
-            exact_avg("PassengerCount").alias("avg_passengers"),
+            whole_avg("PassengerCount").alias("avg_passengers"),
         )
         .orderBy("pickup_zone", "rate_description")
     )
@@ -356,8 +357,8 @@ def distance_analysis(star: Star) -> DataFrame:
         .groupBy(buckets.distance_category(col("TripDistance")).alias("distance_category"))
         .agg(
             m.trips(), m.avg_fare(),
-            exact_avg(m.duration()).alias("avg_duration_minutes"),
-            exact_avg(m.true_duration()).alias("avg_true_minutes"),
+            whole_avg(m.duration()).alias("avg_duration_minutes"),
+            whole_avg(m.true_duration()).alias("avg_true_minutes"),
         )
         .orderBy(buckets.rank_of("distance_category", buckets.DISTANCE_ORDER))
     )
@@ -474,7 +475,7 @@ def refresh_gold(
         fact = fact.filter(col("source_date") <= lit(last))
     parts = f"{namespace}.trip_parts"
     sink.overwrite_partitions(gold_parts(star.with_fact(fact)), parts, "source_date", provider)
-    tip = F.try_divide(sum_of_parts("percent") / PERCENT_STEPS, F.sum("percents"))
+    tip = F.try_divide(sum_of_parts("percent") / STEPS, F.sum("percents"))
     daily = _from_parts(
         spark.table(parts), "trip_date", "daily_revenue", tip.alias("avg_tip_percentage")
     )
