@@ -55,7 +55,9 @@ def mask(turns: Column) -> Column:
 def common_prefix(a: Column, b: Column) -> Column:
     """How many turns two conversations have in common at their start."""
     shorter = F.least(F.size(a), F.size(b))
-    both = F.arrays_zip(F.slice(a, lit(1), shorter).alias("a"), F.slice(b, lit(1), shorter).alias("b"))
+    both = F.arrays_zip(
+        F.slice(a, lit(1), shorter).alias("a"), F.slice(b, lit(1), shorter).alias("b")
+    )
     same = F.transform(both, lambda t: t["a"] == t["b"])
     first_change = F.array_position(same, False)
     return F.when(first_change > 0, first_change.cast("int") - 1).otherwise(shorter)
@@ -188,7 +190,8 @@ WITH said AS (
   FROM parted
   WINDOW w AS (PARTITION BY opening, part ORDER BY whole, conv_id)
 ), pair AS (
-  SELECT *, other_chars > answer_chars OR (other_chars = answer_chars AND other_id < conv_id) AS swap
+  SELECT *, other_chars > answer_chars
+         OR (other_chars = answer_chars AND other_id < conv_id) AS swap
   FROM placed
   WHERE place % 2 = 1
 ), ids AS (

@@ -237,7 +237,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], n_terms: int):
             yield row[0], row[1], _Block(n_terms, *row[2:])
 
 
-_MARKS_DDL = "doc_id long, row_hash long, n_words int, starts binary, lengths binary, items array<long>"
+_MARKS_DDL = (
+    "doc_id long, row_hash long, n_words int, starts binary, lengths binary, items array<long>"
+)
 _MARKS = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -424,7 +426,8 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 ORACLE = r"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'),
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM documents
 ), item AS (

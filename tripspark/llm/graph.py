@@ -45,7 +45,9 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         new_mark = current.agg(
-            F.count("*"), F.expr("bit_xor(xxhash64(child, parent))"), F.sum(F.expr("child % 1000003"))
+            F.count("*"),
+            F.expr("bit_xor(xxhash64(child, parent))"),
+            F.sum(F.expr("child % 1000003")),
         ).first()
         if new_mark == mark or new_mark[0] == 0:
             return current.select(col("child").alias("node"), col("parent").alias("root"))

@@ -7,9 +7,9 @@ background's counts are scaled to the target's total, so that a difference betwe
 is one of distribution and not of size. A document's score is the mean over its words of
 the target's loss less the background's; the lower, the more it reads like the target.
 
-Counts are taken over all documents, combined per task and summed by Spark; no text is shuffled. Each model is a square of
-(1 + WORDS + CLASSES) classes, so what a task holds is fixed by the parameters, not by the data;
-it is built by Spark a row of the square at a time.
+Counts are taken over all documents, combined per task and summed by Spark; no text is shuffled.
+Each model is a square of (1 + WORDS + CLASSES) classes, so what a task holds is fixed by the
+parameters, not by the data; it is built by Spark a row of the square at a time.
 
 Defined cases: a text without words, empty or NULL, has no loss and scores 0. Without target
 documents the target is the background and all scores are 0. Rows are scored by themselves, whatever

@@ -142,8 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
         weights = fit(examples).astype("<f4").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], ["weights"])
 
-    task = ordered.select("label", "buckets", "values").coalesce(1).mapInArrow(learn, "weights binary")
-    return np.frombuffer(task.first()["weights"], "<f4")
+    one_task = ordered.select("label", "buckets", "values").coalesce(1)
+    return np.frombuffer(one_task.mapInArrow(learn, "weights binary").first()["weights"], "<f4")
 
 
 _REPORT = pa.schema(

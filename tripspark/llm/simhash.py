@@ -222,7 +222,9 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, tile: int = TILE) ->
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = (
-            row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            row
+            for batch in batches
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
         )
         a, b = [], []
         for (pair, _, low, high), unit in groupby(stream, key=lambda row: row[:4]):

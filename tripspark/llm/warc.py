@@ -105,17 +105,15 @@ def _record(date: str) -> Column:
         + len(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: ")
         + 4
     )
-    kind = F.when(~first, lit("continuation")).when(revisit, lit("revisit")).otherwise(lit("response"))
+    kind = F.when(~first, "continuation").when(revisit, "revisit").otherwise("response")
+    part = F.concat(
+        lit("<" + ID_PREFIX), page, lit("#"), col("chunk_no").cast("string"), lit(">")
+    )
     url = F.replace(F.replace(col("url"), lit("\r"), lit("%0D")), lit("\n"), lit("%0A"))
     head = F.concat(
         lit("WARC/1.0" + EOL),
         line("WARC-Type", kind),
-        line(
-            "WARC-Record-ID",
-            F.when(first, own).otherwise(
-                F.concat(lit("<" + ID_PREFIX), page, lit("#"), col("chunk_no").cast("string"), lit(">"))
-            ),
-        ),
+        line("WARC-Record-ID", F.when(first, own).otherwise(part)),
         line("WARC-Date", lit(date)),
         line("WARC-Target-URI", url, first & url.isNotNull()),
         line("WARC-Payload-Digest", F.concat(lit("sha256:"), col("payload_digest")), first),
