@@ -315,7 +315,7 @@ ORACLE: dict[str, str] = {
     "year_distribution": _share(
         'trip_year AS "year"', "timed", "", '"year", trip_count', "trip_count", "percentage"
     ),
-    "seasonal_analysis": f"{COMMON} SELECT {SEASON}, {N}, {AVG_FARE}, {_sum()} FROM timed GROUP BY 1",
+    "seasonal_analysis": _select(f"{SEASON}, {N}, {AVG_FARE}, {_sum()}", "timed", "GROUP BY 1"),
     "hour_day_heatmap": _grouped("timed", "trip_hour, day_name", N),
     "peak_hours": _grouped("timed", "day_name, trip_hour", N, AVG_FARE),
     "trips_by_borough": BOROUGH,

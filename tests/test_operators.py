@@ -197,6 +197,8 @@ def test_empty_filters_pass_everything(star):
 def test_last_30_days_and_row_caps(star):
     recent = filters.last_30_days(date(2024, 3, 1))
     assert (recent.first_date, recent.last_date) == (date(2024, 1, 31), date(2024, 3, 1))
+    assert filters.chart_rows(star.fact).count() == N
+    assert filters.chart_rows(star.fact, 10).count() == 10
     sample = filters.sample_rows(star.fact, 0.5, 20, seed=3)
     assert sample.count() == 20
 

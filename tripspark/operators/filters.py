@@ -67,6 +67,11 @@ def by_team(conversations: DataFrame, team_id: int) -> DataFrame:
     return conversations.filter(col("team_id") == team_id)
 
 
+def chart_rows(chart: DataFrame, cap: int | None = None) -> DataFrame:
+    """A chart whole, or its first rows where a caller asks for so many."""
+    return chart if cap is None else chart.limit(cap)
+
+
 def sample_rows(df: DataFrame, fraction: float, n: int, seed: int) -> DataFrame:
     """A seeded Bernoulli sample in random order, at most ``n`` rows."""
     return df.sample(fraction=fraction, seed=seed).orderBy(F.rand(seed)).limit(n)

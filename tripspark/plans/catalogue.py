@@ -40,7 +40,8 @@ def star_of(spark: SparkSession, sf_dir: str, years_cut: int = 0) -> Star:
     The calendar runs from the first order day to the midnight after the last one, less
     ``years_cut`` years at either end; trips outside it have no time attributes.
     """
-    bounds = order_lines.day_span(order_lines.read(spark, sf_dir, "orders"), "o_orderdate", years_cut)
+    orders = order_lines.read(spark, sf_dir, "orders")
+    bounds = order_lines.day_span(orders, "o_orderdate", years_cut)
     return Star(
         spark=spark,
         fact=silver.transform_trips(order_lines.bronze_trips(spark, sf_dir)),

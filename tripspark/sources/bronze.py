@@ -85,8 +85,7 @@ def _typed(df: DataFrame) -> list:
     """The bronze columns in their types, whatever types a file has; missing ones are NULL."""
     there = {f.name.lower() for f in df.schema.fields}
     return [
-        (col(f.name).try_cast(f.dataType) if f.name.lower() in there else lit(None).cast(f.dataType))
-        .alias(f.name)
+        (col(f.name) if f.name.lower() in there else lit(None)).try_cast(f.dataType).alias(f.name)
         for f in BRONZE_DAY.fields
     ]
 

@@ -33,10 +33,10 @@ def _writable(name: str, value: Column) -> Column:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    columns = [
-        _writable(f.name, col(f"`{f.name}`")) if isinstance(f.dataType, StringType) else f"`{f.name}`"
-        for f in df.schema.fields
-    ]
+    columns = []
+    for f in df.schema.fields:
+        value = col(f"`{f.name}`")
+        columns.append(_writable(f.name, value) if isinstance(f.dataType, StringType) else value)
     df.select(*columns).write.mode("overwrite").options(**_FORMAT, quoteAll="true").csv(path)
 
 
