@@ -35,7 +35,7 @@ from tripspark.llm.common import fresh, rows, sliced, stored, text_hash, texts
 
 WINDOW = 13
 PERCENT = 5
-PART_WORDS = 1_000_000
+PART_WORDS = 200_000
 
 # Separators become blanks and A-Z lower case, all else stays: then bytes.split() gives words.
 _TABLE = bytes(
