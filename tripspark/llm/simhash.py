@@ -282,14 +282,19 @@ def one_per_group(
     """
     found = groups(docs, size, distance)
     first = F.min(F.struct(col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash"))
-    id_name, hash_name = fresh(docs, "chosen_id"), fresh(docs, "chosen_hash")
+    # The row's identity as plain columns without NULLs, so that the rows which the semi join
+    # brings together need not be moved again to drop repeated ones.
+    names = [fresh(docs, n) for n in ("chosen_id", "chosen_no_id", "chosen_hash")]
+
+    def identity(doc_id: Column, row_hash: Column) -> list[Column]:
+        parts = (F.coalesce(doc_id, lit(0).cast("long")), doc_id.isNull(), row_hash)
+        return [part.alias(name) for part, name in zip(parts, names, strict=True)]
+
     chosen = (
         found.groupBy("root")
         .agg(first.alias("c"))
-        .select(col("c.doc_id").alias(id_name), col("c.row_hash").alias(hash_name))
+        .select(*identity(col("c.doc_id"), col("c.row_hash")))
         .distinct()
     )
-    on = docs["doc_id"].cast("long").eqNullSafe(chosen[id_name]) & (
-        text_hash(docs["text"]) == chosen[hash_name]
-    )
-    return docs.join(chosen, on).dropDuplicates([id_name, hash_name]).select(docs.columns)
+    marked = docs.select("*", *identity(col("doc_id").cast("long"), text_hash("text")))
+    return marked.join(chosen, names, "left_semi").dropDuplicates(names).select(docs.columns)
