@@ -83,6 +83,21 @@ def test_target_like_documents_score_lower(spark):
     assert max(score[i] for i in range(41, 80, 2)) < min(score[i] for i in range(40, 80, 2))
 
 
+def test_every_word_counts(spark, monkeypatch):
+    """Over 2,048 words, several slices: losses are those of the words, not of classes of them."""
+    monkeypatch.setattr(lm_scoring, "SLICE", 4_000)
+    rng = random.Random(3)
+    rows = edge_rows() + [(100 + i, " ".join(prose(rng, 100, 20_000))) for i in range(60)]
+    marks = [(100 + i, i % 2, 0) for i in range(60)]
+    assert len({w for _, t in rows for w in (t or "").lower().split()}) > 2048
+    got = sorted(map(tuple, lm_scoring.report(docs(spark, rows), labels(spark, marks)).collect()), key=repr)
+    # The brute force without a limit on words: none falls into a hash class.
+    monkeypatch.setattr(lm_scoring, "WORDS", None)
+    want = sorted(brute(rows, {101 + i for i in range(0, 60, 2)}), key=repr)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-6)
+
+
 def test_without_target_or_documents(spark):
     rows = edge_rows()
     out = lm_scoring.report(docs(spark, rows), labels(spark, [])).collect()

@@ -1,15 +1,18 @@
 """LM scoring by cross-entropy difference of two matched bigram models.
 
 Method. A target model is counted on the documents labelled good and not toxic, a background model
-on all documents. Both share one vocabulary: the WORDS most frequent words of the whole corpus and
-CLASSES hash classes for all others. They have the same order, smoothing and mass: the
-background's counts are scaled to the target's total, so that a difference between them
-is one of distribution and not of size. A document's score is the mean over its words of
-the target's loss less the background's; the lower, the more it reads like the target.
-
-Counts are taken over all documents, combined per task and summed by Spark; no text is shuffled.
-Each model is a square of (1 + WORDS + CLASSES) classes, so what a task holds is fixed by the
-parameters, not by the data; it is built by Spark a row of the square at a time.
+on all documents. Both share one vocabulary: every word of the corpus (with WORDS set, only the
+most frequent ones, and CLASSES hash classes for the others). They have the same order,
+smoothing and mass: the background's counts are scaled to the target's total, so that a
+difference between them is one of distribution and not of size. A document's score is the mean
+over its words of the target's loss less the background's; the lower, the more it reads like
+the target.
+
+Tasks cut their documents into slices of about SLICE bytes and emit each slice's distinct words and
+word pairs with their counts, keyed by 64-bit word hashes. Spark adds them up over all slices, and
+the sums go back to each slice, which scores its documents from word numbers of its own. A
+key has one row a slice at most, so a very common pair is no load, and what a task holds is a
+slice, whatever the size of the model.
 
 Defined cases: a text without words, empty or NULL, has no loss and scores 0. Without target
 documents the target is the background and all scores are 0. Rows are scored by themselves, whatever
@@ -25,17 +28,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from tripspark.llm.common import rows, sliced, stored, texts
+from tripspark.llm.common import partitions, rows, sliced, stored, texts
 
-WORDS = 1536
+WORDS: int | None = None  # all
 CLASSES = 511
 PSEUDO = 20.0  # weight of the unigram model inside the bigram model, in counts
 FLOOR = 0.5  # added to each class's count
-START = 0
+SLICE = 8 << 20  # bytes of text
+# Keys that are no words: the start of a document, a word alone, a word before any other; hash
+# classes follow. Words have the bit IS_WORD set.
+START, ALONE, ANY, FIRST_CLASS = 0, 1, 2, 3
+IS_WORD = 1 << 16
 SHARED_IDS = 4_000_000  # target ids that are given to every task, 8 bytes each
 
 
@@ -43,8 +51,10 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def vocabulary(docs: DataFrame, words: int = WORDS) -> list[bytes]:
-    """The most frequent words of all documents; ties go by the word."""
+def vocabulary(docs: DataFrame, words: int | None = WORDS) -> list[bytes] | None:
+    """The most frequent words of all documents; ties go by the word. None means every word."""
+    if words is None:
+        return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
@@ -84,19 +94,28 @@ class Classes(dict):
     def __missing__(self, word: bytes) -> int:
         return self.first + xxhash.xxh32_intdigest(word) % self.classes
 
-    def numbers(self, text: bytes) -> np.ndarray:
-        words = tokens(text)
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
-    def pairs(self, text: bytes) -> np.ndarray:
-        """Each word with the class before it, as one number."""
-        at = self.numbers(text)
-        before = np.concatenate([[START], at[:-1]])[: len(at)]
-        return before * self.size + at
+class Numbers(dict):
+    """Words of a slice to numbers in the order in which they come; 0 starts a document."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) + 1
+        return number
+
+
+def keys(words: Numbers, known: set[bytes] | None) -> np.ndarray:
+    """The key of each number."""
+    found = [START]
+    for word in words:
+        if known is None or word in known:
+            found.append(xxhash.xxh64_intdigest(word) | IS_WORD)
+        else:
+            found.append(FIRST_CLASS + xxhash.xxh32_intdigest(word) % CLASSES)
+    return np.array(found, np.uint64).view(np.int64)
 
 
 def _marked(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
-    """Rows of (mark, text), and the sorted target ids where the mark is a doc_id to look up.
+    """Rows of (doc_id, mark, text), and the sorted target ids where the mark is a doc_id to look up.
 
     Up to SHARED_IDS target ids every task gets them all, so no text is moved. Beyond that the
     mark is a flag that a join sets.
@@ -104,113 +123,104 @@ def _marked(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, np.ndarray |
     slim = docs.select(col("doc_id").cast("long").alias("doc_id"), "text")
     target = target.distinct()
     if target.count() <= SHARED_IDS:
-        return slim, np.sort(target.toArrow()["doc_id"].to_numpy())
+        return slim.select("doc_id", col("doc_id").alias("mark"), "text"), np.sort(target.toArrow()["doc_id"].to_numpy())
     joined = slim.join(target.withColumn("is_target", F.lit(1).cast("long")), "doc_id", "left")
-    return joined.select("is_target", "text"), None
+    return joined.select("doc_id", col("is_target").alias("mark"), "text"), None
+
+
+_SLICES_DDL = (
+    "slice long, place int, before long, word long, background long, target long, "
+    "doc_ids array<long>, lengths array<int>, tokens binary, pairs binary"
+)
+_SLICES = pa.schema(
+    [
+        ("slice", pa.int64()),
+        ("place", pa.int32()),
+        ("before", pa.int64()),
+        ("word", pa.int64()),
+        ("background", pa.int64()),
+        ("target", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("lengths", pa.list_(pa.int32())),
+        ("tokens", pa.binary()),
+        ("pairs", pa.binary()),
+    ]
+)
+
 
+def _one_slice(name: int, docs: list, words: Numbers, known: set[bytes] | None):
+    """Rows of a slice: its documents in word numbers (place -1), then a row for each key.
 
-def count_pairs(docs: DataFrame, target: DataFrame, classes: Classes) -> DataFrame:
-    """(pair, background, target): how often each pair of classes, numbered before * size + word,
-    occurs in all documents and in the target documents."""
+    Places number the distinct pairs, then the words alone, then the words before any other.
+    """
+    size = len(words) + 1
+    lengths = [len(at) for _, _, at in docs]
+    chosen = np.repeat([mark for _, mark, _ in docs], lengths)
+    word = np.concatenate([at for _, _, at in docs])
+    before = np.concatenate([np.concatenate([[0], at[:-1]])[: len(at)] for _, _, at in docs])
+    pairs, tokens = np.unique(before * size + word, return_inverse=True)
+    yield rows(
+        _SLICES,
+        [
+            *([x] for x in (name, -1, None, None, None, None, [doc for doc, _, _ in docs])),
+            [lengths],
+            [tokens.astype("<i4").tobytes()],
+            [pairs.astype("<i8").tobytes()],
+        ],
+    )
+    key = keys(words, known)
+    start = 0
+    for number, left, right in (
+        (tokens, key[pairs // size], key[pairs % size]),
+        (word, np.full(size, ALONE), key),
+        (before, key, np.full(size, ANY)),
+    ):
+        n = np.bincount(number, minlength=len(left))
+        t = np.bincount(number[chosen], minlength=len(left))
+        for i in range(0, len(left), 100_000):
+            some = slice(i, i + 100_000)
+            at = np.arange(start, start + len(left))[some]
+            numbers = [np.full(len(at), name), at, left[some], right[some], n[some], t[some]]
+            yield rows(_SLICES, [*numbers, *([None] * len(at) for _ in range(4))])
+        start += len(left)
+
+
+def slices(docs: DataFrame, target: DataFrame, known: list[bytes] | None) -> DataFrame:
+    """The documents and the keys of every slice, as _one_slice gives them."""
     rows_in, ids = _marked(docs, target)
-    shared = docs.sparkSession.sparkContext.broadcast((classes, ids))
-    size = classes.size
+    shared = docs.sparkSession.sparkContext.broadcast((known and set(known), ids))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ids = shared.value
-        totals = np.zeros((2, size * size), np.int32)
+        name = TaskContext.get().partitionId() << 32
+        waiting, words, held = [], Numbers(), 0
         for batch in sliced(batches, "text"):
-            marks = batch.column(0)
+            marks = batch.column(1)
             if ids is None:
                 chosen = marks.is_valid().to_pylist()
             else:
                 chosen = pa.compute.is_in(marks, value_set=pa.array(ids)).to_pylist()
-            for text, is_target in zip(texts(batch), chosen, strict=True):
-                pairs = known.pairs(text)
-                np.add.at(totals[0], pairs, 1)
-                if is_target:
-                    np.add.at(totals[1], pairs, 1)
-        at = np.flatnonzero(totals[0])
-        for start in range(0, len(at), 200_000):
-            some = at[start : start + 200_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some.astype(np.int32)),
-                    pa.array(totals[0, some].astype(np.int64)),
-                    pa.array(totals[1, some].astype(np.int64)),
-                ],
-                ["pair", "background", "target"],
-            )
-
-    return (
-        rows_in.mapInArrow(count, "pair int, background long, target long")
-        .groupBy("pair")
-        .agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    )
+            for doc, mark, text in zip(
+                batch.column(0).to_pylist(), chosen, texts(batch), strict=True
+            ):
+                some = tokens(text)
+                at = np.fromiter(map(words.__getitem__, some), np.int64, len(some))
+                waiting.append((doc, mark, at))
+                held += len(text)
+            if held >= SLICE:
+                yield from _one_slice(name, waiting, words, known)
+                name, waiting, words, held = name + 1, [], Numbers(), 0
+        if waiting:
+            yield from _one_slice(name, waiting, words, known)
+
+    return stored(rows_in.mapInArrow(cut, _SLICES_DDL), "slices")
 
 
 def losses(counts: np.ndarray, before: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-    """-log2 P(word | before) for one row of pair counts, smoothed with the unigram model."""
+    """-log2 P(word | before) from the counts of pairs, smoothed with the unigram model."""
     return -np.log2((counts + PSEUDO * unigram) / (before + PSEUDO))
 
 
-def model(pairs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The losses of both models as squares [before, word], 4 * size * size bytes each."""
-    pairs = stored(pairs, "pairs").select(
-        F.expr(f"pair DIV {size}").alias("before"),
-        F.expr(f"pair % {size}").alias("word"),
-        "background",
-        "target",
-    )
-    totals = pairs.groupBy("word").agg(F.sum("background").alias("b"), F.sum("target").alias("t"))
-    found = totals.toArrow()  # a row per class
-    counts = np.zeros((2, size))
-    words = found["word"].to_numpy()
-    counts[0, words], counts[1, words] = found["b"].to_numpy(), found["t"].to_numpy()
-    if not counts[1].sum():
-        counts[1] = counts[0]
-        column = "background"
-    else:
-        column = "target"
-    scale = counts[1].sum() / max(counts[0].sum(), 1)
-    counts[0] *= scale
-    unigram = (counts + FLOOR) / (counts + FLOOR).sum(axis=1, keepdims=True)
-
-    def row_losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [], []
-            for words, b, t in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                for side, values, factor in ((0, b, scale), (1, t, 1.0)):
-                    line = np.zeros(size)
-                    line[words] = np.array(values) * factor
-                    out[side].append(
-                        losses(line, line.sum(), unigram[side]).astype("<f4").tobytes()
-                    )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.binary()) for x in out)], ["before", "b", "t"]
-            )
-
-    made = (
-        pairs.groupBy("before")
-        .agg(
-            F.collect_list(F.struct("word", "background", col(column).alias("target"))).alias("p")
-        )
-        .select("before", "p.word", "p.background", "p.target")
-        .mapInArrow(row_losses, "before long, b binary, t binary")
-        .toArrow()
-    )
-    # Classes that never come before another have the unigram model.
-    square = [
-        np.tile(losses(np.zeros(size), np.zeros(1), unigram[side]).astype("<f4"), (size, 1))
-        for side in (0, 1)
-    ]
-    at = made["before"].to_numpy()
-    for side, name in ((0, "b"), (1, "t")):
-        for row, data in zip(at.tolist(), made[name].to_pylist(), strict=True):
-            square[side][row] = np.frombuffer(data, "<f4")
-    return square[0], square[1]
-
-
 def target_ids(labels: DataFrame) -> DataFrame:
     """Documents that the labels call good and not toxic."""
     votes = labels.where("doc_id IS NOT NULL").groupBy(col("doc_id").cast("long").alias("doc_id"))
@@ -221,6 +231,12 @@ def target_ids(labels: DataFrame) -> DataFrame:
     )
 
 
+_DOCUMENTS = [
+    ("doc_ids", "array<long>"),
+    ("lengths", "array<int>"),
+    ("tokens", "binary"),
+    ("pairs", "binary"),
+]
 _REPORT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -234,24 +250,82 @@ _REPORT = pa.schema(
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row: doc_id, n_tokens, the mean losses in bits a word, and their difference."""
-    classes = Classes(vocabulary(docs))
-    background, target = model(count_pairs(docs, target_ids(labels), classes), classes.size)
-    shared = docs.sparkSession.sparkContext.broadcast((classes, background.ravel(), target.ravel()))
+    n = partitions(docs.sparkSession)
+    known = vocabulary(docs)
+    parts = slices(docs, target_ids(labels), known)
+    asked = parts.where("place >= 0").select(
+        "slice", "place", "before", "word", "background", "target"
+    )
+    words, in_all, in_target = (
+        asked.where((col("before") == ALONE) & (col("word") != START))
+        .groupBy("word")
+        .agg(F.sum("background").alias("b"), F.sum("target").alias("t"))
+        .agg(F.count("*"), F.sum("b"), F.sum("t"))
+        .first()
+    )
+    size = 1 + CLASSES + (words if known is None else len(known))
+    in_all, in_target = in_all or 0, in_target or 0
+    scale = in_target / max(in_all, 1) if in_target else 1.0
+    total = (in_target or in_all) + FLOOR * size
+
+    # A key has a row a slice, so no window is large.
+    same = Window.partitionBy("before", "word")
+    nothing = [F.lit(None).cast(_type).alias(name) for name, _type in _DOCUMENTS]
+    answers = asked.select(
+        "slice",
+        "place",
+        F.sum("background").over(same).alias("background"),
+        F.sum("target").over(same).alias("target"),
+        *nothing,
+    )
+    documents = parts.where("place < 0").select(
+        "slice", "place", "background", "target", *(name for name, _ in _DOCUMENTS)
+    )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, background, target = shared.value
-        for batch in sliced(batches, "text"):
-            out = [[], [], [], []]
-            for text in texts(batch):
-                pairs = known.pairs(text)
-                n = len(pairs)
-                t = float(target[pairs].mean(dtype=np.float64)) if n else 0.0
-                b = float(background[pairs].mean(dtype=np.float64)) if n else 0.0
-                for column, value in zip(out, (n, t, b, t - b), strict=True):
-                    column.append(value)
-            yield rows(_REPORT, [batch.column(0), *out])
-
-    return docs.select(col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        score,
-        "doc_id long, n_tokens long, target_loss double, background_loss double, score double",
+        held, got = None, []
+        for batch in batches:
+            # A slice begins with the row of its documents.
+            starts = np.flatnonzero(batch.column(1).to_numpy() < 0).tolist()
+            for first, end in zip([0, *starts], [*starts, batch.num_rows], strict=True):
+                if end > first:
+                    if first in starts:
+                        held, got = batch.slice(first, 1).to_pylist()[0], []
+                        first += 1
+                    some = batch.slice(first, end - first)
+                    got.append(np.array([some.column(i).to_numpy(zero_copy_only=False)
+                                         for i in (2, 3)], np.int64))
+                if end < batch.num_rows and held is not None:
+                    yield scored(held, got)
+                    held, got = None, []
+        if held is not None:
+            yield scored(held, got)
+
+    def scored(held: dict, got: list[np.ndarray]) -> pa.RecordBatch:
+        counts = np.concatenate(got, axis=1).astype(float)
+        pairs = np.frombuffer(held["pairs"], "<i8")
+        width = (counts.shape[1] - len(pairs)) // 2
+        before, word = pairs // max(width, 1), pairs % max(width, 1)
+        both = []
+        for side, factor in (((1 if in_target else 0), 1.0), (0, scale)):
+            pair, alone, first = np.split(counts[side] * factor, [len(pairs), len(pairs) + width])
+            both.append(losses(pair, first[before], (alone[word] + FLOOR) / total))
+        tokens = np.frombuffer(held["tokens"], "<i4")
+        lengths = np.array(held["lengths"])
+        ends = np.cumsum(lengths)
+        out = []
+        for of_pair in both:
+            sums = [of_pair[tokens[e - n : e]].sum() for n, e in zip(lengths, ends, strict=True)]
+            out.append(np.array(sums) / np.maximum(lengths, 1))
+        return rows(_REPORT, [held["doc_ids"], lengths, *out, out[0] - out[1]])
+
+    return (
+        answers.unionByName(documents)
+        .repartition(n, "slice")
+        .sortWithinPartitions("slice", "place")
+        .mapInArrow(
+            score,
+            "doc_id long, n_tokens long, target_loss double, background_loss double, "
+            "score double",
+        )
     )
