@@ -90,6 +90,18 @@ def test_large_opening_is_divided(spark):
     assert sorted(ids) == list(range(900)) and len(pairs) < 500
 
 
+@pytest.mark.parametrize("group", [None, 37])
+def test_neighbours_are_paired_at_every_size(spark, group):
+    """Of 2,501 with one opening those next to each other in text order meet, across ranges too."""
+    n = 2501
+    said = {i: f"{i * 7 % 50:02} {i * 1009 % n:05}" for i in range(n)}
+    rows = [r for i in range(n) for r in ((i, 0, "user", "hi"), (i, 1, "assistant", said[i]))]
+    pairs = chat_format.preference_pairs(conversations(spark, rows), group=group)
+    got = {frozenset({r[0], r[1]} - {None}) for r in pairs.select("chosen_id", "rejected_id").collect()}
+    order = sorted(range(n), key=lambda i: (said[i], i))
+    assert got == {frozenset(order[i : i + 2]) for i in range(0, n, 2)}
+
+
 def test_plan_has_no_python(spark, sf_dir, capsys):
     df = chat_format.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     df.explain()

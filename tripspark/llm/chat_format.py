@@ -8,8 +8,10 @@ functions are used.
 The tables name no preferences, so `preference_pairs` makes them: conversations that open with
 the same turn are alternatives; sorted by their text, neighbours are paired, so that their common
 prefix is long. The one with more assistant text is chosen, on a tie the one of the smaller id.
-An opening shared by more than GROUP conversations is divided by conv_id into groups of about
-that size. A conversation that is left over gives a row without a rejected side: what comes
+Conversations are dealt out by ranges of (opening, text, conv_id) and numbered inside a range;
+the small counts of the ranges give each its first number, so a large opening is divided over
+tasks and its neighbours stay the same. ORACLE still divides an opening of more than 1,000
+conversations by conv_id, and agrees up to there. A conversation that is left over gives a row without a rejected side: what comes
 before its last assistant turn is the prompt.
 
 Defined cases: rows without conv_id belong to no conversation and give nothing. A NULL turn number
@@ -23,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
-GROUP = 1000
-
+from tripspark.llm.common import partitions, stored
 
 def _header(turn: Column) -> Column:
     return F.concat(lit("<|im_start|>"), turn["role"], lit("\n"))
@@ -120,28 +121,53 @@ def gathered(conversations: DataFrame) -> DataFrame:
     )
 
 
-def preference_pairs(conversations: DataFrame, group: int = GROUP) -> DataFrame:
+def preference_pairs(conversations: DataFrame, group: int | None = None) -> DataFrame:
     """Pairs of conversations with the same first turn, and those left over, as `preferences`
-    takes them. Every conversation is in exactly one row."""
+    takes them. Every conversation is in exactly one row. With `group`, ranges hold about so many
+    conversations; the pairs are the same."""
     answers = F.filter("turns", lambda t: t["role"] == "assistant")
     convs = gathered(conversations).select(
         "conv_id",
         "turns",
         F.sha2(rendered(F.slice("turns", 1, 1)).cast("binary"), 256).alias("opening"),
         F.length(rendered(answers)).alias("answer_chars"),
+        rendered(col("turns")).alias("whole"),
+    )
+    n = partitions(conversations.sparkSession)
+    if group is not None:
+        n = max(n, -(-conversations.select("conv_id").distinct().count() // group))
+    # Written, so that the ranges are the same for the numbers and for their offsets.
+    ranged = stored(
+        convs.repartitionByRange(n, "opening", "whole", "conv_id").withColumn(
+            "part", F.spark_partition_id()
+        ),
+        "conversations",
+    )
+    earlier = Window.partitionBy("opening").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    sizes = convs.groupBy("opening").agg(F.ceil(F.count("*") / group).alias("parts"))
-    order = Window.partitionBy("opening", "part").orderBy(rendered(col("turns")), "conv_id")
+    offsets = ranged.groupBy("opening", "part").agg(F.count("*").alias("n")).select(
+        "opening", "part", F.coalesce(F.sum("n").over(earlier), lit(0)).alias("offset")
+    )
+    order = Window.partitionBy("opening", "part").orderBy("whole", "conv_id")
     other = F.struct("conv_id", "turns", "answer_chars")
+    numbered = ranged.join(offsets, ["opening", "part"]).select(
+        "opening",
+        "conv_id",
+        "turns",
+        "answer_chars",
+        F.row_number().over(order).alias("row"),
+        (col("offset") + F.row_number().over(order)).alias("place"),
+        F.lead(other).over(order).alias("next"),
+    )
+    # The last of a range goes with the first of the next one.
+    firsts = numbered.where("row = 1 AND place % 2 = 0").select(
+        "opening", (col("place") - 1).alias("place"), other.alias("first")
+    )
     ranked = (
-        convs.join(sizes, "opening")
-        .withColumn("part", F.pmod("conv_id", col("parts")))
-        .select(
-            "*",
-            F.row_number().over(order).alias("place"),
-            F.lead(other).over(order).alias("other"),
-        )
-        .where("place % 2 = 1")
+        numbered.where("place % 2 = 1")
+        .join(firsts, ["opening", "place"], "left")
+        .withColumn("other", F.coalesce("next", "first"))
     )
     swap = (col("other.answer_chars") > col("answer_chars")) | (
         (col("other.answer_chars") == col("answer_chars"))
