@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripspark.llm import (
     chat_format,
     decontaminate,
+    lexical_search,
     line_dedup,
     lm_scoring,
     packing,
@@ -45,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": over(lm_scoring.report, "documents", "labels"),
     "op9_chat_format": over(chat_format.report, "conversations"),
     "op10_substring_dedup": over(substring_dedup.report, "documents"),
+    "op12_lexical_search": over(lexical_search.report, "documents", "benchmark"),
 }
 
 ORACLE: dict[str, str] = {
@@ -52,4 +54,5 @@ ORACLE: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op4_decontamination": decontaminate.ORACLE,
     "op9_chat_format": chat_format.ORACLE,
+    "op12_lexical_search": lexical_search.ORACLE,
 }
