@@ -12,6 +12,7 @@ from tripspark.llm import (
     lexical_search,
     line_dedup,
     lm_scoring,
+    neighbours,
     packing,
     quality_classifier,
     quality_rules,
@@ -47,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": over(chat_format.report, "conversations"),
     "op10_substring_dedup": over(substring_dedup.report, "documents"),
     "op12_lexical_search": over(lexical_search.report, "documents", "benchmark"),
+    "op13_neighbours": over(neighbours.report, "embeddings"),
 }
 
 ORACLE: dict[str, str] = {
