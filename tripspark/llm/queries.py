@@ -14,6 +14,7 @@ from tripspark.llm import (
     lm_scoring,
     neighbours,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     simhash,
@@ -47,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scoring": over(lm_scoring.report, "documents", "labels"),
     "op9_chat_format": over(chat_format.report, "conversations"),
     "op10_substring_dedup": over(substring_dedup.report, "documents"),
+    "op11_prefix_trie": over(prefix_trie.report, "conversations"),
     "op12_lexical_search": over(lexical_search.report, "documents", "benchmark"),
     "op13_neighbours": over(neighbours.report, "embeddings"),
 }
@@ -56,5 +58,6 @@ ORACLE: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op4_decontamination": decontaminate.ORACLE,
     "op9_chat_format": chat_format.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_lexical_search": lexical_search.ORACLE,
 }
