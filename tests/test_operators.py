@@ -1,7 +1,9 @@
 """Star joins, filters, shares and histograms against brute force on small fixtures."""
 
+import math
 import random
 from datetime import date
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -9,7 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from tripspark.operators import filters, shares
-from tripspark.operators.exact import avg_percent, exact_avg, exact_sum, sum_of_parts, sum_parts
+from tripspark.operators.exact import (
+    added_parts,
+    aggregate,
+    avg_percent,
+    count_rows,
+    exact_avg,
+    exact_sum,
+    exact_total,
+    range_key,
+    sum_of_parts,
+    sum_parts,
+)
 from tripspark.operators.histogram import histogram, not_in_bins
 from tripspark.operators.star import Calendar, Star, with_time, with_time_joined
 from tripspark.plans import charts, gold, wide
@@ -241,36 +254,104 @@ def test_histogram_leaves_out_what_is_no_number(spark, odd):
     assert left_out["nulls"] == 1 and left_out["nans"] + left_out["infinite"] == 1
 
 
-def test_exact_sums_do_not_depend_on_order(spark):
+def exactly(printed):
+    """The sum of decimals as the nearest double. Values are given as Spark prints them."""
+    total = sum(map(Fraction, printed), Fraction(0))
+    try:
+        return float(total)
+    except OverflowError:
+        return math.inf if total > 0 else -math.inf
+
+
+def many_sums():
     rng = random.Random(1)
-    cents = [rng.randrange(-10**6, 10**9) for _ in range(5000)]
-    df = spark.createDataFrame([(c / 100,) for c in cents], "v double")
-    for parts in (1, 7):
-        row = df.repartition(parts).agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).first()
-        assert row["s"] == sum(cents) / 100
-        assert row["a"] == sum(cents) / 100 / len(cents)
-    halves = df.withColumn("k", (F.rand(3) * 9).cast("int")).groupBy("k").agg(*sum_parts("v", "v"))
-    assert halves.agg(sum_of_parts("v").alias("s")).first()["s"] == sum(cents) / 100
+    groups = [
+        [4e-7] * 1000,
+        [1e16, 1e-6],
+        [1e300, 1.0, -1e300],
+        [5e-324] * 3,
+        [1.7e308, 1.7e308],
+        [1.7e308, 1.7e308, -1.7e308],
+        [0.1] * 10,
+        [-0.1] * 10,
+        [0.0, 0.0],
+        [123456789.012345, 1e9, -1e9, 999999999.999999, 1234567890.1234567, 1e-6, 5e-7],
+    ]
+    for spread in (5, 60, 300) * 20:
+        n = rng.randrange(1, 40)
+        groups.append([rng.uniform(-1, 1) * 2.0 ** rng.uniform(-spread, spread) for _ in range(n)])
+    for _ in range(20):  # all bits, all magnitudes, subnormal ones included
+        groups.append(
+            [
+                math.ldexp(rng.randrange(-(2**53), 2**53), rng.randrange(-1074, 960))
+                for _ in range(30)
+            ]
+        )
+    return groups
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_sums_equal_those_of_fractions(spark, parts):
+    groups = many_sums()
+    rows = [(k, v) for k, values in enumerate(groups) for v in [*values, None]]
+    random.Random(parts).shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, v double").repartition(parts)
+    found = aggregate(
+        df, ["k"], exact_sum("v", "s"), exact_avg("v", "a"), exact_sum(-col("v"), "negative")
+    ).collect()
+    assert len(found) == len(groups)
+    printed = {}
+    for row in df.where("v IS NOT NULL").select("k", col("v").cast("string").alias("t")).collect():
+        printed.setdefault(row.k, []).append(row.t)
+    want = {k: exactly(texts) for k, texts in printed.items()}
+    assert all(float(t) in groups[k] for k, texts in printed.items() for t in texts)
+    for row in found:
+        assert row.s == want[row.k] and row.negative == -want[row.k]
+        assert row.a == want[row.k] / len(groups[row.k])
+    listed = df.groupBy("k").agg(exact_total(F.collect_list("v")).alias("s")).collect()
+    assert all(r.s == want[r.k] for r in listed)
+
+
+def test_a_million_small_values(spark):
+    df = spark.range(1_000_000).select(F.lit(4e-7).alias("v"))
+    assert aggregate(df, [], exact_sum("v", "s")).first().s == 0.4
+
+
+def test_sums_added_up_in_steps(spark):
+    rng = random.Random(2)
+    values = [rng.randrange(-(10**15), 10**15) / 10 ** rng.randrange(3, 24) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    steps = df.withColumn("k", (F.rand(3) * 9).cast("int")).groupBy("k", range_key("v", "v"))
+    again = steps.agg(*sum_parts("v", "v")).groupBy("v_range").agg(*added_parts("v"))
+    assert again.agg(sum_of_parts("v").alias("s")).first().s == exactly(map(repr, values))
 
 
-def test_sums_of_large_and_odd_values(spark):
+def test_sums_of_odd_values(spark):
     def total(*values):
-        return spark.createDataFrame([(v,) for v in values], "v double").agg(
-            exact_sum("v").alias("s"), exact_avg("v").alias("a")
-        ).first()
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return tuple(
+            aggregate(df, [], exact_sum("v", "s"), exact_avg("v", "a"), count_rows("n")).first()
+        )
+
+    inf, nan = float("inf"), float("nan")
+    assert np.isnan(total(1.0, nan)[0]) and np.isnan(total(inf, -inf, 1.0)[0])
+    assert total(1.0, inf)[0] == inf and total(-inf, 1e308)[0] == -inf
+    assert total(None, None) == (None, None, 2)
+    assert total() == (None, None, 0)
+    assert total(-0.0, None) == (0.0, 0.0, 2)
+
 
-    assert total(1e16, 1.25, None)["s"] == 1e16 + 1.25
-    assert total(1e16, 1e16)["s"] == 2e16
-    assert np.isnan(total(1.0, float("nan"))["s"])
-    assert total(1.0, float("inf"))["s"] == float("inf")
-    assert total(1e300, 1.0)["s"] == 1e300
-    assert tuple(total(None, None)) == (None, None)
+def test_shares_of_exact_totals(spark):
+    rows = [("a", 1e300), ("b", 1.0), ("c", -1e300), ("d", 3.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.share for r in shares.with_share(df, "v", "share").collect()}
+    assert got["b"] == 25.0 and got["d"] == 75.0
 
 
 def test_average_percentage(spark):
     def average(*values):
         df = spark.createDataFrame([(v,) for v in values], "v double")
-        return df.agg(avg_percent(col("v")).alias("a")).first()["a"]
+        return aggregate(df, [], avg_percent(col("v"), "a")).first()["a"]
 
     assert average(10.0, 20.0, None) == 15.0
     assert average(100 / 3, 100 / 3) == 33.333333

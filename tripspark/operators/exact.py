@@ -1,89 +1,309 @@
-"""Sums and averages that do not depend on the order in which tasks finish.
+"""Sums and averages of doubles that are exact and do not depend on the order of tasks.
 
-A double is added up as a whole number and millionths of one, both in long arithmetic, which any
-order gives the same; the two meet as DECIMAL once per group. Where a value does not fit (NaN,
-infinite, from 1e18 on) the plain sum of doubles takes over, which then has no exact counterpart
-anyway.
+A double stands for the decimal that is printed for it: 0.1 for a tenth, 12.34 for an amount in
+cents. These decimals are split into whole digits in base 10**7, which are
+added up as longs, so nothing is lost at any size, in any order; the total is rounded once, to the
+nearest double. Four digits hold any double from its own lowest place on. That place, the range,
+is a further key of the first aggregation. Amounts in whole millionths below a billion all have
+the same range and are split by arithmetic alone, so that aggregation has as many rows as there
+are groups; others are split by their printed form. The second aggregation brings the few ranges
+of a group together. Both combine rows before they shuffle.
+
+A group may hold nine hundred billion values; beyond that the sums of longs raise an error. NaN
+and the infinities give what floating-point addition gives. NULL is not added; a sum of none is
+NULL.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
-STEPS = 1_000_000  # parts of a whole that are told apart
+STEPS = 1_000_000  # parts of a whole that are told apart in percentages
 LARGEST = 1e18
 
+PLACES = 7  # decimal places of a digit
+BASE = 10**PLACES
+DIGITS = 4
+COMMON = 0  # the range whose lowest digit counts millionths
+COMMON_PLACES = 6
+# Ranges of the values that are no numbers.
+INFINITE, MINUS_INFINITE, NOT_A_NUMBER = 1000, 1001, 1002
+
 
 def _column(value: str | Column) -> Column:
     return (col(value) if isinstance(value, str) else value).cast("double")
 
 
-def _fits(value: Column) -> Column:
-    return F.abs(value) < LARGEST  # false for NaN, which is larger than any number
+def _steps(value: Column) -> Column:
+    return F.rint(value * 10.0**COMMON_PLACES)
+
+
+def _is_common(value: Column) -> Column:
+    """Whether a value is a whole number of millionths, told apart by a double: up to 15 digits."""
+    steps = _steps(value)
+    return (F.abs(steps) < 1e15) & (steps / 10.0**COMMON_PLACES == value)
+
+
+def _is_finite(value: Column) -> Column:
+    return F.abs(value) < float("inf")  # false for NaN, which is larger than any number
+
+
+def _printed(value: Column) -> tuple[Column, Column]:
+    """The printed form as a whole number and the power of ten that it counts."""
+    text = value.cast("string")
+    number = F.substring_index(text, "E", 1)
+    power = F.when(F.contains(text, lit("E")), F.substring_index(text, "E", -1)).otherwise("0")
+    places = F.length(F.substring_index(number, ".", -1))
+    return F.replace(number, lit(".")).try_cast("long"), power.try_cast("int") - places
+
+
+def _range_of_power(power: Column) -> Column:
+    return F.floor((power + COMMON_PLACES) / PLACES).cast("int")
+
+
+def range_of(value: Column) -> Column:
+    """The range of a value; NULL belongs to the common one."""
+    return (
+        F.when(value.isNull() | _is_common(value), COMMON)
+        .when(_is_finite(value), _range_of_power(_printed(value)[1]))
+        .when(F.isnan(value), NOT_A_NUMBER)
+        .when(value > 0, INFINITE)
+        .otherwise(MINUS_INFINITE)
+    )
+
+
+def _div(value: Column, by: int) -> Column:
+    """Whole quotient towards zero, as the remainder ``%`` has it."""
+    return F.call_function("div", value, lit(by).cast("long"))
+
+
+def digits_of(value: Column) -> list[Column]:
+    """The digits of a value from the lowest place of its range on, each with the value's sign;
+    NULL if not finite."""
+    steps = F.when(_is_common(value), _steps(value).cast("long"))
+    nothing = F.when(steps.isNotNull(), lit(0).cast("long"))
+    plain = [steps % BASE, _div(steps, BASE) % BASE, _div(steps, BASE**2), nothing]
+
+    number, power = _printed(F.when(_is_finite(value), value))
+    # The number's own digits, moved up to a multiple of the digit's places.
+    up = F.element_at(
+        F.array(*[lit(10**i).cast("long") for i in range(PLACES)]),
+        F.pmod(power + COMMON_PLACES, lit(PLACES)).cast("int") + 1,
+    )
+    moved, carry = [], lit(0).cast("long")
+    for part in (number % BASE, _div(number, BASE) % BASE, _div(number, BASE**2)):
+        moved.append(part * up + carry)
+        carry = _div(moved[-1], BASE)
+    printed = [*[m % BASE for m in moved], carry]
+    common = _is_common(value)
+    return [F.when(common, a).otherwise(b) for a, b in zip(plain, printed, strict=True)]
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _carried(digits: Column) -> Column:
+    """Digits brought between 0 and BASE - 1, lowest first, and what is carried out of the top."""
+    start = F.struct(F.array().cast("array<bigint>").alias("out"), lit(0).cast("long").alias("c"))
+
+    def step(state: Column, digit: Column) -> Column:
+        value = digit + state["c"]
+        low = F.pmod(value, lit(BASE).cast("long"))
+        return F.struct(
+            F.concat(state["out"], F.array(low)).alias("out"), _div(value - low, BASE).alias("c")
+        )
+
+    return F.reduce(digits, start, step)
+
+
+def _nearest(digits: Column, first: Column) -> Column:
+    """The double nearest to carried digits, of which the lowest is that of the range ``first``."""
+    written = F.transform(F.reverse(digits), lambda d: F.lpad(d.cast("string"), PLACES, "0"))
+    power = first * PLACES - COMMON_PLACES
+    return F.concat(F.array_join(written, ""), lit("E"), power.cast("string")).cast("double")
+
+
+def _rounded(parts: Column) -> Column:
+    """The sum of an array of structs (range, digits), as the nearest double."""
+
+    def finite(parts: Column) -> Column:
+        first = F.array_min(F.transform(parts, lambda p: p["range"]))
+        last = F.array_max(F.transform(parts, lambda p: p["range"]))
+        # Two more for what a trillion values carry up.
+        places = F.sequence(lit(0), last - first + DIGITS + 1)
+        digits = F.transform(
+            places,
+            lambda i: F.reduce(
+                parts,
+                lit(0).cast("long"),
+                lambda total, p: total
+                + F.coalesce(F.get(p["digits"], i - (p["range"] - first)), lit(0)),
+            ),
+        )
 
+        def signed(digits: Column) -> Column:
+            negative = F.transform(digits, lambda d: -d)
+            return _let(
+                _carried(digits),
+                lambda up: F.when(
+                    up["c"] < 0, -_nearest(_carried(negative)["out"], first)
+                ).otherwise(_nearest(up["out"], first)),
+            )
 
-def _limbs(value: Column) -> tuple[Column, Column]:
-    """The whole number below a value and the millionths above it, halves up."""
-    value = F.when(_fits(value), value)
-    whole = F.floor(value)
-    return whole, F.floor((value - whole) * STEPS + 0.5)
+        return _let(digits, signed)
 
+    def has(parts: Column, kind: int) -> Column:
+        return F.exists(parts, lambda p: p["range"] == kind)
 
-def _settled(odd: Column, whole: Column, part: Column, plain: Column) -> Column:
-    exact = whole.cast("decimal(28,6)") + part.cast("decimal(20,0)") * lit(Decimal("0.000001"))
-    return F.when((odd > 0) | whole.isNull() | part.isNull(), plain).otherwise(
-        exact.cast("double")
+    def settled(parts: Column) -> Column:
+        both = has(parts, INFINITE) & has(parts, MINUS_INFINITE)
+        return (
+            F.when(F.size(parts) == 0, lit(None).cast("double"))
+            .when(has(parts, NOT_A_NUMBER) | both, float("nan"))
+            .when(has(parts, INFINITE), float("inf"))
+            .when(has(parts, MINUS_INFINITE), float("-inf"))
+            .otherwise(finite(parts))
+        )
+
+    return _let(parts, settled)
+
+
+def exact_total(values: Column) -> Column:
+    """The exact sum of an array of doubles."""
+    present = F.filter(values, lambda v: v.isNotNull())
+    return _rounded(
+        F.transform(
+            present,
+            lambda v: F.struct(
+                range_of(v).alias("range"), F.array(*digits_of(v)).alias("digits")
+            ),
+        )
     )
 
 
+# --- two aggregations -----------------------------------------------------------------
+
+
+def range_key(value: str | Column, name: str) -> Column:
+    """The further key of an aggregation of ``sum_parts``."""
+    return range_of(_column(value)).alias(f"{name}_range")
+
+
 def sum_parts(value: str | Column, name: str) -> list[Column]:
-    """What a first aggregation keeps so that ``sum_of_parts`` can add up further."""
+    """What an aggregation by the group's keys and ``range_key`` keeps of a value."""
     value = _column(value)
-    whole, part = _limbs(value)
     return [
-        F.try_sum(whole).alias(f"{name}_whole"),
-        F.try_sum(part).alias(f"{name}_part"),
-        F.sum(value).alias(f"{name}_plain"),
-        F.count_if(~_fits(value)).alias(f"{name}_odd"),
+        F.count(value).alias(f"{name}_n"),
+        *[F.sum(d).alias(f"{name}_digit{i}") for i, d in enumerate(digits_of(value))],
     ]
 
 
-def sum_of_parts(name: str) -> Column:
-    return _settled(
-        F.sum(f"{name}_odd"),
-        F.try_sum(f"{name}_whole"),
-        F.try_sum(f"{name}_part"),
-        F.sum(f"{name}_plain"),
-    )
+def part_names(name: str) -> list[str]:
+    return [f"{name}_n", *(f"{name}_digit{i}" for i in range(DIGITS))]
 
 
-def exact_sum(value: str | Column) -> Column:
-    value = _column(value)
-    whole, part = _limbs(value)
-    return _settled(F.count_if(~_fits(value)), F.try_sum(whole), F.try_sum(part), F.sum(value))
+def added_parts(name: str) -> list[Column]:
+    """The parts of several rows of the same keys and range as those of one."""
+    return [F.sum(p).alias(p) for p in part_names(name)]
 
 
-def exact_avg(value: str | Column) -> Column:
+def sum_of_parts(name: str) -> Column:
+    """The exact sum, as an aggregate over rows of ``sum_parts``.
+
+    A group's rows are one per combination of ranges.
+    """
+    digits = F.array(*[col(f"{name}_digit{i}") for i in range(DIGITS)])
+    part = F.struct(col(f"{name}_range").alias("range"), digits.alias("digits"))
+    return _rounded(F.collect_list(F.when(col(f"{name}_n") > 0, part)))
+
+
+def avg_of_parts(name: str) -> Column:
     """The exact sum over the number of values; NULL without any."""
-    return F.try_divide(exact_sum(value), F.count(_column(value)))
+    return F.try_divide(sum_of_parts(name), F.sum(f"{name}_n"))
+
 
+@dataclass(frozen=True)
+class Measure:
+    """One result column of ``aggregate``.
 
-def whole_avg(value: str | Column) -> Column:
+    ``value`` is what is added up exactly. ``parts`` are aggregates over rows, by the name they get
+    as a prefix; ``total`` makes the result of the prefix, as an aggregate over parts.
+    """
+
+    name: str
+    total: Callable[[str], Column]
+    value: Column | None = None
+    parts: Callable[[str], list[Column]] = lambda prefix: []
+
+
+def exact_sum(value: str | Column, name: str) -> Measure:
+    return Measure(name, sum_of_parts, _column(value))
+
+
+def exact_avg(value: str | Column, name: str) -> Measure:
+    return Measure(name, avg_of_parts, _column(value))
+
+
+def count_rows(name: str) -> Measure:
+    return Measure(
+        name,
+        lambda p: F.coalesce(F.sum(f"{p}_n"), lit(0)),
+        parts=lambda p: [F.count(lit(1)).alias(f"{p}_n")],
+    )
+
+
+def whole_avg(value: str | Column, name: str) -> Measure:
     """The average of whole numbers, whose sum is exact as it is."""
     value = col(value) if isinstance(value, str) else value
-    return F.try_divide(F.sum(value.cast("long")), F.count(value))
+    return Measure(
+        name,
+        lambda p: F.try_divide(F.sum(f"{p}_sum"), F.sum(f"{p}_n")),
+        parts=lambda p: [
+            F.sum(value.cast("long")).alias(f"{p}_sum"), F.count(value).alias(f"{p}_n")
+        ],
+    )
 
 
 def percent_steps(value: Column) -> Column:
     """A percentage in whole millionths, halves up: the same number in any engine."""
     steps = F.floor(value * STEPS + 0.5).cast("double")
-    return F.when(F.abs(value) < LARGEST / STEPS, steps).otherwise(value)
+    return F.when(F.abs(value) < LARGEST / STEPS, steps).otherwise(value * STEPS)
 
 
-def avg_percent(value: Column) -> Column:
+def avg_percent(value: Column, name: str) -> Measure:
     """The average of percentages, each taken to six places."""
-    return F.try_divide(exact_sum(percent_steps(value)) / STEPS, F.count(value))
+    return Measure(
+        name,
+        lambda p: F.try_divide(sum_of_parts(p) / STEPS, F.sum(f"{p}_n")),
+        _column(percent_steps(value)),
+    )
+
+
+def aggregate(df: DataFrame, keys: list[str | Column], *measures: Measure) -> DataFrame:
+    """``df.groupBy(*keys).agg(*measures)``; without keys one row.
+
+    Measures of the same value share its parts. Only ask for measures that are wanted: the
+    range of a value is a key, which Catalyst cannot prune.
+    """
+    values: dict[str, tuple[str, Column]] = {}
+    parts, totals = [], []
+    for i, measure in enumerate(measures):
+        prefix = f"_m{i}"
+        if measure.value is not None:
+            named = (f"_v{len(values)}", measure.value)
+            prefix = values.setdefault(str(measure.value), named)[0]
+        parts += measure.parts(prefix)
+        totals.append(measure.total(prefix).alias(measure.name))
+    ranges = [range_key(value, prefix) for prefix, value in values.values()]
+    for prefix, value in values.values():
+        parts += sum_parts(value, prefix)
+    first = df.groupBy(*keys, *ranges).agg(*parts)
+    names = [f"`{c}`" for c in first.columns[: len(keys)]]
+    return first.groupBy(*names).agg(*totals)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
+from pyspark.sql.types import DoubleType
+
+from tripspark.operators.exact import exact_total
 
 
 def percentage(part: Column, whole: Column) -> Column:
@@ -15,7 +18,12 @@ def percentage(part: Column, whole: Column) -> Column:
 def with_share(grouped: DataFrame, value: str, out: str) -> DataFrame:
     """Add each group's percentage of the sum of ``value`` over all groups.
 
-    The window has no keys, so it runs in one task. Call it on aggregated rows only.
+    The window has no keys, so it runs in one task. Call it on aggregated rows only. A total of
+    doubles is the exact one, whatever the order of the groups.
     """
-    total = F.sum(col(value)).over(Window.partitionBy())
+    everything = Window.partitionBy()
+    if isinstance(grouped.schema[value].dataType, DoubleType):
+        total = exact_total(F.collect_list(col(value)).over(everything))
+    else:
+        total = F.sum(col(value)).over(everything)
     return grouped.withColumn(out, percentage(col(value), total))

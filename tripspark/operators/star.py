@@ -18,6 +18,7 @@ from pyspark.sql.functions import col
 from tripspark.functions import labels
 from tripspark.functions import timekeys as tk
 from tripspark.functions.quality import GOOD
+from tripspark.operators.exact import Measure, aggregate
 
 
 @dataclass(frozen=True)
@@ -151,11 +152,11 @@ def with_time(df: DataFrame, star: Star) -> DataFrame:
     )
 
 
-def group_by_date(df: DataFrame, star: Star, *measures: Column) -> DataFrame:
+def group_by_date(df: DataFrame, star: Star, *measures: Measure) -> DataFrame:
     """Aggregate per ``trip_date``. Rows are grouped on a number cut from the key; the
     date itself is only built for the few grouped rows."""
     day = tk.int_div(col("trip_key"), 10_000)
-    grouped = with_trip_key(df, star).groupBy(day.alias("trip_day_number")).agg(*measures)
+    grouped = aggregate(with_trip_key(df, star), [day.alias("trip_day_number")], *measures)
     date = tk.key_date(col("trip_day_number") * 10_000).alias("trip_date")
     return grouped.select(date, *[c for c in grouped.columns if c != "trip_day_number"])
 

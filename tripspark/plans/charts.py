@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from tripspark.functions import timekeys as tk
-from tripspark.operators.exact import exact_sum
+from tripspark.operators.exact import aggregate
 from tripspark.operators.histogram import histogram
 from tripspark.operators.star import Star, with_payment, with_pickup, with_trip_key
+from tripspark.plans import measures as m
 
 
 def _trips():
@@ -21,7 +22,7 @@ def chart_total_trips(star: Star) -> DataFrame:
 
 
 def chart_total_revenue(star: Star) -> DataFrame:
-    return star.good().agg(exact_sum("TotalAmount").alias("total_revenue"))
+    return aggregate(star.good(), [], m.revenue())
 
 
 def chart_daily(star: Star) -> DataFrame:
@@ -53,11 +54,7 @@ def chart_borough(star: Star) -> DataFrame:
 
 
 def chart_payment_revenue(star: Star) -> DataFrame:
-    return (
-        with_payment(star.good(), star)
-        .groupBy("payment_type")
-        .agg(exact_sum("TotalAmount").alias("total_revenue"))
-    )
+    return aggregate(with_payment(star.good(), star), ["payment_type"], m.revenue())
 
 
 def hist_distance(star: Star) -> DataFrame:

@@ -17,8 +17,12 @@ from tripspark.functions.quality import CORRUPTED, GOOD
 from tripspark.operators import shares
 from tripspark.operators.exact import (
     STEPS,
-    exact_avg,
+    added_parts,
+    aggregate,
+    avg_of_parts,
+    count_rows,
     percent_steps,
+    range_key,
     sum_of_parts,
     sum_parts,
     whole_avg,
@@ -41,39 +45,41 @@ from tripspark.sinks import tables as sink
 
 
 def kpi_summary(star: Star) -> DataFrame:
-    """All indicators in one pass. Selecting some of them prunes the others."""
-    return star.good().agg(
-        F.count(lit(1)).alias("total_trips"),
+    """All indicators in one pass."""
+    return aggregate(
+        star.good(),
+        [],
+        count_rows("total_trips"),
         m.revenue(),
         m.avg_fare(),
         m.avg_tip_percentage(),
-        exact_avg("TripDistance").alias("avg_distance"),
-        whole_avg(m.true_duration()).alias("avg_duration_minutes"),
+        m.avg_distance(),
+        m.avg_true_duration(),
     )
 
 
 def kpi_total_trips(star: Star) -> DataFrame:
-    return kpi_summary(star).select("total_trips")
+    return aggregate(star.good(), [], count_rows("total_trips"))
 
 
 def kpi_total_revenue(star: Star) -> DataFrame:
-    return kpi_summary(star).select("total_revenue")
+    return aggregate(star.good(), [], m.revenue())
 
 
 def kpi_avg_fare(star: Star) -> DataFrame:
-    return kpi_summary(star).select("avg_fare")
+    return aggregate(star.good(), [], m.avg_fare())
 
 
 def kpi_avg_tip_pct(star: Star) -> DataFrame:
-    return kpi_summary(star).select("avg_tip_percentage")
+    return aggregate(star.good(), [], m.avg_tip_percentage())
 
 
 def kpi_avg_distance(star: Star) -> DataFrame:
-    return kpi_summary(star).select("avg_distance")
+    return aggregate(star.good(), [], m.avg_distance())
 
 
 def kpi_avg_duration(star: Star) -> DataFrame:
-    return kpi_summary(star).select("avg_duration_minutes")
+    return aggregate(star.good(), [], m.avg_true_duration())
 
 
 # --- trends over time -----------------------------------------------------------------
@@ -85,7 +91,7 @@ def _timed(star: Star) -> DataFrame:
 
 def daily_trends(star: Star) -> DataFrame:
     daily = group_by_date(
-        star.good(), star, m.trips(), m.avg_fare(), m.revenue("daily_revenue")
+        star.good(), star, m.trip_count(), m.avg_fare(), m.revenue("daily_revenue")
     )
     return daily.orderBy("trip_date")
 
@@ -93,21 +99,23 @@ def daily_trends(star: Star) -> DataFrame:
 def daily_trends_joined(star: Star) -> DataFrame:
     """Daily trends through the join with the minute dimension itself.
 
-    Trips are added up per minute first, so the join moves at most one row per minute,
+    Trips are added up per minute first, so the join moves a few rows per minute at most,
     however many trips a busy minute has.
     """
-    per_minute = star.good().groupBy("PickupDateTimeID").agg(
+    ranges = [range_key("FareAmount", "fare"), range_key("TotalAmount", "revenue")]
+    per_minute = star.good().groupBy("PickupDateTimeID", *ranges).agg(
         F.count(lit(1)).alias("n"),
-        F.count("FareAmount").alias("fares"),
         *sum_parts("FareAmount", "fare"),
         *sum_parts("TotalAmount", "revenue"),
     )
     return (
         with_time_joined(per_minute, star.dimtime)
+        .groupBy("trip_date", "fare_range", "revenue_range")
+        .agg(F.sum("n").alias("n"), *added_parts("fare"), *added_parts("revenue"))
         .groupBy("trip_date")
         .agg(
             F.sum("n").alias("trip_count"),
-            F.try_divide(sum_of_parts("fare"), F.sum("fares")).alias("avg_fare"),
+            avg_of_parts("fare").alias("avg_fare"),
             sum_of_parts("revenue").alias("daily_revenue"),
         )
         .orderBy("trip_date")
@@ -115,14 +123,18 @@ def daily_trends_joined(star: Star) -> DataFrame:
 
 
 def hourly_distribution(star: Star) -> DataFrame:
-    return _timed(star).groupBy("trip_hour").agg(m.trips(), m.avg_fare()).orderBy("trip_hour")
+    hourly = aggregate(_timed(star), ["trip_hour"], m.trip_count(), m.avg_fare())
+    return hourly.orderBy("trip_hour")
 
 
 def monthly_trends(star: Star) -> DataFrame:
     return (
         _timed(star)
-        .groupBy("trip_year", "trip_month")
-        .agg(m.trips(), m.revenue("monthly_revenue"), m.avg_fare())
+        .transform(
+            aggregate,
+            ["trip_year", "trip_month"],
+            m.trip_count(), m.revenue("monthly_revenue"), m.avg_fare(),
+        )
         .orderBy("trip_year", "trip_month")
     )
 
@@ -131,8 +143,11 @@ def weekly_trends(star: Star) -> DataFrame:
     return (
         _timed(star)
         .withColumn("trip_week", tk.week_of_year(col("trip_date")))
-        .groupBy("trip_year", "trip_week")
-        .agg(m.trips(), m.revenue("weekly_revenue"), m.avg_fare())
+        .transform(
+            aggregate,
+            ["trip_year", "trip_week"],
+            m.trip_count(), m.revenue("weekly_revenue"), m.avg_fare(),
+        )
         .orderBy("trip_year", "trip_week")
     )
 
@@ -140,8 +155,7 @@ def weekly_trends(star: Star) -> DataFrame:
 def year_over_year(star: Star) -> DataFrame:
     return (
         _timed(star)
-        .groupBy("trip_month", "trip_year")
-        .agg(m.trips(), m.revenue("revenue"))
+        .transform(aggregate, ["trip_month", "trip_year"], m.trip_count(), m.revenue("revenue"))
         .orderBy("trip_month", "trip_year")
     )
 
@@ -149,10 +163,10 @@ def year_over_year(star: Star) -> DataFrame:
 def revenue_trends(star: Star) -> DataFrame:
     return (
         _timed(star)
-        .groupBy(col("trip_year").alias("year"), col("trip_month").alias("month"))
-        .agg(
-            m.trips(), m.revenue("revenue"), m.avg_fare(),
-            exact_avg("TripDistance").alias("avg_distance"),
+        .transform(
+            aggregate,
+            [col("trip_year").alias("year"), col("trip_month").alias("month")],
+            m.trip_count(), m.revenue("revenue"), m.avg_fare(), m.avg_distance(),
         )
         .orderBy("year", "month")
     )
@@ -161,8 +175,11 @@ def revenue_trends(star: Star) -> DataFrame:
 def data_overview(star: Star) -> DataFrame:
     return (
         _timed(star)
-        .groupBy(col("trip_year").alias("year"), col("trip_month").alias("month"))
-        .agg(m.trips(), m.avg_fare())
+        .transform(
+            aggregate,
+            [col("trip_year").alias("year"), col("trip_month").alias("month")],
+            m.trip_count(), m.avg_fare(),
+        )
         .orderBy("year", "month")
     )
 
@@ -175,8 +192,11 @@ def year_distribution(star: Star) -> DataFrame:
 def seasonal_analysis(star: Star) -> DataFrame:
     return (
         _timed(star)
-        .groupBy(labels.season(col("trip_month")).alias("season"))
-        .agg(m.trips(), m.avg_fare(), m.revenue())
+        .transform(
+            aggregate,
+            [labels.season(col("trip_month")).alias("season")],
+            m.trip_count(), m.avg_fare(), m.revenue(),
+        )
         .orderBy(buckets.rank_of("season", labels.SEASON_ORDER))
     )
 
@@ -193,8 +213,7 @@ def hour_day_heatmap(star: Star) -> DataFrame:
 def peak_hours(star: Star) -> DataFrame:
     return (
         with_day_of_week(_timed(star))
-        .groupBy("day_name", "trip_hour")
-        .agg(m.trips(), m.avg_fare())
+        .transform(aggregate, ["day_name", "trip_hour"], m.trip_count(), m.avg_fare())
         .orderBy(buckets.rank_of("day_name", labels.WEEK_ORDER), "trip_hour")
     )
 
@@ -236,8 +255,7 @@ def top_zones(star: Star, n: int = 20) -> DataFrame:
     return (
         with_pickup(star.good(), star)
         .filter(col("pickup_zone").isNotNull())
-        .groupBy("pickup_zone")
-        .agg(m.trips(), m.avg_fare())
+        .transform(aggregate, ["pickup_zone"], m.trip_count(), m.avg_fare())
         .orderBy(col("trip_count").desc(), "pickup_zone")
         .limit(n)
     )
@@ -248,8 +266,7 @@ def borough_zones(star: Star, borough: str) -> DataFrame:
     return (
         with_pickup(star.good(), star)
         .filter(col("pickup_borough") == borough)
-        .groupBy("pickup_zone")
-        .agg(m.trips(), m.revenue(), m.avg_fare())
+        .transform(aggregate, ["pickup_zone"], m.trip_count(), m.revenue(), m.avg_fare())
         .orderBy(col("trip_count").desc(), "pickup_zone")
     )
 
@@ -270,8 +287,11 @@ def dropoff_density(star: Star) -> DataFrame:
 def revenue_hour_borough(star: Star) -> DataFrame:
     return (
         with_time(_by_borough(star), star)
-        .groupBy("pickup_borough", "trip_hour")
-        .agg(m.trips(), m.revenue(), m.avg_revenue())
+        .transform(
+            aggregate,
+            ["pickup_borough", "trip_hour"],
+            m.trip_count(), m.revenue(), m.avg_revenue(),
+        )
         .orderBy("pickup_borough", "trip_hour")
     )
 
@@ -279,8 +299,11 @@ def revenue_hour_borough(star: Star) -> DataFrame:
 def top_boroughs(star: Star) -> DataFrame:
     grouped = (
         _by_borough(star)
-        .groupBy(col("pickup_borough").alias("borough"))
-        .agg(m.trips(), m.revenue(), m.avg_revenue())
+        .transform(
+            aggregate,
+            [col("pickup_borough").alias("borough")],
+            m.trip_count(), m.revenue(), m.avg_revenue(),
+        )
     )
     return shares.with_share(grouped, "total_revenue", "revenue_percentage").orderBy(
         col("total_revenue").desc()
@@ -295,11 +318,11 @@ def airport_trips(star: Star) -> DataFrame:
             (col("pickup_service_zone") == "Airports")
             | col("rate_description").isin("JFK", "Newark")
         )
-        .groupBy("pickup_zone", "rate_description")
-        .agg(
-            m.trips(), m.avg_fare(),
-            exact_avg("TripDistance").alias("avg_distance"),
-            whole_avg("PassengerCount").alias("avg_passengers"),
+        .transform(
+            aggregate,
+            ["pickup_zone", "rate_description"],
+            m.trip_count(), m.avg_fare(), m.avg_distance(),
+            whole_avg("PassengerCount", "avg_passengers"),
         )
         .orderBy("pickup_zone", "rate_description")
     )
@@ -312,8 +335,7 @@ def revenue_by_payment(star: Star) -> DataFrame:
     return (
         with_payment(star.good(), star)
         .filter(col("payment_type").isNotNull())
-        .groupBy("payment_type")
-        .agg(m.trips(), m.revenue(), m.avg_fare())
+        .transform(aggregate, ["payment_type"], m.trip_count(), m.revenue(), m.avg_fare())
         .orderBy(col("total_revenue").desc())
     )
 
@@ -322,8 +344,11 @@ def payment_analysis(star: Star) -> DataFrame:
     return (
         with_payment(star.good(), star)
         .filter(col("payment_type").isNotNull())
-        .groupBy(col("payment_type").alias("paymenttype"))
-        .agg(m.trips(), m.revenue(), m.avg_revenue(), m.avg_tip_percentage())
+        .transform(
+            aggregate,
+            [col("payment_type").alias("paymenttype")],
+            m.trip_count(), m.revenue(), m.avg_revenue(), m.avg_tip_percentage(),
+        )
         .orderBy(col("total_revenue").desc())
     )
 
@@ -341,8 +366,11 @@ def tip_analysis(star: Star) -> DataFrame:
     return (
         star.good()
         .filter(col("TipAmount") > 0)
-        .groupBy(buckets.tip_category(col("TipAmount")).alias("tip_category"))
-        .agg(m.trips(), m.avg_tip_percentage())
+        .transform(
+            aggregate,
+            [buckets.tip_category(col("TipAmount")).alias("tip_category")],
+            m.trip_count(), m.avg_tip_percentage(),
+        )
         .orderBy(buckets.rank_of("tip_category", buckets.TIP_ORDER))
     )
 
@@ -354,11 +382,10 @@ def distance_analysis(star: Star) -> DataFrame:
     """``avg_duration_minutes`` is the published duration, ``avg_true_minutes`` the real one."""
     return (
         star.good()
-        .groupBy(buckets.distance_category(col("TripDistance")).alias("distance_category"))
-        .agg(
-            m.trips(), m.avg_fare(),
-            whole_avg(m.duration()).alias("avg_duration_minutes"),
-            whole_avg(m.true_duration()).alias("avg_true_minutes"),
+        .transform(
+            aggregate,
+            [buckets.distance_category(col("TripDistance")).alias("distance_category")],
+            m.trip_count(), m.avg_fare(), m.avg_duration(), m.avg_true_duration("avg_true_minutes"),
         )
         .orderBy(buckets.rank_of("distance_category", buckets.DISTANCE_ORDER))
     )
@@ -367,8 +394,11 @@ def distance_analysis(star: Star) -> DataFrame:
 def passenger_distribution(star: Star) -> DataFrame:
     return (
         star.good()
-        .groupBy(col("PassengerCount").alias("passengercount"))
-        .agg(m.trips(), m.avg_fare())
+        .transform(
+            aggregate,
+            [col("PassengerCount").alias("passengercount")],
+            m.trip_count(), m.avg_fare(),
+        )
         .orderBy("passengercount")
     )
 
@@ -377,8 +407,7 @@ def rate_code_analysis(star: Star) -> DataFrame:
     return (
         with_rate(star.good(), star)
         .filter(col("rate_description").isNotNull())
-        .groupBy("rate_description")
-        .agg(m.trips(), m.revenue(), m.avg_fare())
+        .transform(aggregate, ["rate_description"], m.trip_count(), m.revenue(), m.avg_fare())
         .orderBy(col("total_revenue").desc())
     )
 
@@ -405,12 +434,18 @@ def duration_vs_fare(star: Star) -> DataFrame:
 def gold_daily(star: Star) -> DataFrame:
     return group_by_date(
         star.good(), star,
-        m.trips(), m.revenue("daily_revenue"), m.avg_fare(), m.avg_tip_percentage(),
+        m.trip_count(), m.revenue("daily_revenue"), m.avg_fare(), m.avg_tip_percentage(),
     )
 
 
 def gold_borough(star: Star) -> DataFrame:
-    return _by_borough(star).groupBy("pickup_borough").agg(m.trips(), m.revenue(), m.avg_fare())
+    return aggregate(
+        _by_borough(star), ["pickup_borough"], m.trip_count(), m.revenue(), m.avg_fare()
+    )
+
+
+# The values that are added up exactly in ``trip_parts``.
+PART_VALUES = ("fare", "revenue", "percent")
 
 
 def gold_parts(star: Star) -> DataFrame:
@@ -420,21 +455,24 @@ def gold_parts(star: Star) -> DataFrame:
     """
     good = col("quality_issue") == GOOD
     percent = buckets.tip_percentage(col("TipAmount"), col("FareAmount"))
-
-    def when_good(value: Column) -> Column:
-        return F.when(good, value)
-
+    values = dict(
+        zip(
+            PART_VALUES,
+            [
+                F.when(good, v)
+                for v in (col("FareAmount"), col("TotalAmount"), percent_steps(percent))
+            ],
+            strict=True,
+        )
+    )
     trips = with_pickup(with_trip_key(star.fact, star), star)
     day = tk.int_div(col("trip_key"), 10_000)
+    ranges = [range_key(value, name) for name, value in values.items()]
     return (
-        trips.groupBy("source_date", day.alias("day_number"), "pickup_borough")
+        trips.groupBy("source_date", day.alias("day_number"), "pickup_borough", *ranges)
         .agg(
             F.count_if(good).alias("trip_count"),
-            F.count(when_good(col("FareAmount"))).alias("fares"),
-            F.count(when_good(percent)).alias("percents"),
-            *sum_parts(when_good(col("FareAmount")), "fare"),
-            *sum_parts(when_good(col("TotalAmount")), "revenue"),
-            *sum_parts(percent_steps(when_good(percent)), "percent"),
+            *[part for name, value in values.items() for part in sum_parts(value, name)],
         )
         .withColumn("trip_date", tk.key_date(col("day_number") * 10_000))
         .drop("day_number")
@@ -443,11 +481,16 @@ def gold_parts(star: Star) -> DataFrame:
 
 def _from_parts(parts: DataFrame, key: str, revenue: str, *more: Column) -> DataFrame:
     return (
-        parts.groupBy(key)
+        parts.groupBy(key, *[f"{name}_range" for name in PART_VALUES])
+        .agg(
+            F.sum("trip_count").alias("trip_count"),
+            *[part for name in PART_VALUES for part in added_parts(name)],
+        )
+        .groupBy(key)
         .agg(
             F.sum("trip_count").alias("trip_count"),
             sum_of_parts("revenue").alias(revenue),
-            F.try_divide(sum_of_parts("fare"), F.sum("fares")).alias("avg_fare"),
+            avg_of_parts("fare").alias("avg_fare"),
             *more,
         )
         .filter("trip_count > 0")
@@ -475,7 +518,7 @@ def refresh_gold(
         fact = fact.filter(col("source_date") <= lit(last))
     parts = f"{namespace}.trip_parts"
     sink.overwrite_partitions(gold_parts(star.with_fact(fact)), parts, "source_date", provider)
-    tip = F.try_divide(sum_of_parts("percent") / STEPS, F.sum("percents"))
+    tip = F.try_divide(sum_of_parts("percent") / STEPS, F.sum("percent_n"))
     daily = _from_parts(
         spark.table(parts), "trip_date", "daily_revenue", tip.alias("avg_tip_percentage")
     )
