@@ -27,181 +27,167 @@ STEPS = 1_000_000  # parts of a whole that are told apart in percentages
 LARGEST = 1e18
 
 PLACES = 7  # decimal places of a digit
-BASE = 10**PLACES
+BASE = "10000000L"
 DIGITS = 4
 COMMON = 0  # the range whose lowest digit counts millionths
-COMMON_PLACES = 6
 # Ranges of the values that are no numbers.
 INFINITE, MINUS_INFINITE, NOT_A_NUMBER = 1000, 1001, 1002
 
+# The expressions are SQL texts: as calls they would be some thousand of them per query.
+
 
 def _column(value: str | Column) -> Column:
     return (col(value) if isinstance(value, str) else value).cast("double")
 
 
-def _steps(value: Column) -> Column:
-    return F.rint(value * 10.0**COMMON_PLACES)
+def _let(value: str, name: str, use: str) -> str:
+    """``use`` of a value that is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {use}), 1)"
 
 
-def _is_common(value: Column) -> Column:
+def _is_common(v: str) -> str:
     """Whether a value is a whole number of millionths, told apart by a double: up to 15 digits."""
-    steps = _steps(value)
-    return (F.abs(steps) < 1e15) & (steps / 10.0**COMMON_PLACES == value)
+    steps = f"rint({v} * 1e6D)"
+    return f"(abs({steps}) < 1e15D AND {steps} / 1e6D = {v})"
 
 
-def _is_finite(value: Column) -> Column:
-    return F.abs(value) < float("inf")  # false for NaN, which is larger than any number
+def _common_steps(v: str) -> str:
+    """A common value in millionths, NULL for others."""
+    return f"CASE WHEN {_is_common(v)} THEN CAST(rint({v} * 1e6D) AS BIGINT) END"
 
 
-def _printed(value: Column) -> tuple[Column, Column]:
-    """The printed form as a whole number and the power of ten that it counts."""
-    text = value.cast("string")
-    number = F.substring_index(text, "E", 1)
-    power = F.when(F.contains(text, lit("E")), F.substring_index(text, "E", -1)).otherwise("0")
-    places = F.length(F.substring_index(number, ".", -1))
-    return F.replace(number, lit(".")).try_cast("long"), power.try_cast("int") - places
-
+def _common_digits(steps: str) -> list[str]:
+    return [
+        f"({steps}) % {BASE}",
+        f"(({steps}) div {BASE}) % {BASE}",
+        f"({steps}) div {BASE} div {BASE}",
+        f"CASE WHEN ({steps}) IS NOT NULL THEN 0L END",
+    ]
 
-def _range_of_power(power: Column) -> Column:
-    return F.floor((power + COMMON_PLACES) / PLACES).cast("int")
 
+def _odd_part(v: str) -> str:
+    """Range and digits of a value that is not common, by its printed form.
 
-def range_of(value: Column) -> Column:
-    """The range of a value; NULL belongs to the common one."""
-    return (
-        F.when(value.isNull() | _is_common(value), COMMON)
-        .when(_is_finite(value), _range_of_power(_printed(value)[1]))
-        .when(F.isnan(value), NOT_A_NUMBER)
-        .when(value > 0, INFINITE)
-        .otherwise(MINUS_INFINITE)
+    That is a whole number `m` and the power of ten it counts; `p` is that power from a millionth
+    on. The number's digits are moved up to a multiple of ``PLACES``.
+    """
+    text = f"CAST({v} AS STRING)"
+    number = f"substring_index({text}, 'E', 1)"
+    power = f"CASE WHEN contains({text}, 'E') THEN substring_index({text}, 'E', -1) ELSE '0' END"
+    printed = (
+        f"named_struct('m', try_cast(replace({number}, '.', '') AS BIGINT),"
+        f" 'p', try_cast({power} AS INT) - length(substring_index({number}, '.', -1)) + 6)"
     )
-
-
-def _div(value: Column, by: int) -> Column:
-    """Whole quotient towards zero, as the remainder ``%`` has it."""
-    return F.call_function("div", value, lit(by).cast("long"))
-
-
-def digits_of(value: Column) -> list[Column]:
-    """The digits of a value from the lowest place of its range on, each with the value's sign;
-    NULL if not finite."""
-    steps = F.when(_is_common(value), _steps(value).cast("long"))
-    nothing = F.when(steps.isNotNull(), lit(0).cast("long"))
-    plain = [steps % BASE, _div(steps, BASE) % BASE, _div(steps, BASE**2), nothing]
-
-    number, power = _printed(F.when(_is_finite(value), value))
-    # The number's own digits, moved up to a multiple of the digit's places.
-    up = F.element_at(
-        F.array(*[lit(10**i).cast("long") for i in range(PLACES)]),
-        F.pmod(power + COMMON_PLACES, lit(PLACES)).cast("int") + 1,
+    powers = ", ".join(f"{10**i}L" for i in range(PLACES))
+    up = f"element_at(array({powers}), pmod(x.p, {PLACES}) + 1)"
+    moved = (
+        f"named_struct('a', x.m % {BASE} * {up}, 'b', x.m div {BASE} % {BASE} * {up},"
+        f" 'c', x.m div {BASE} div {BASE} * {up}, 'range', CAST(floor(x.p / {PLACES}) AS INT))"
     )
-    moved, carry = [], lit(0).cast("long")
-    for part in (number % BASE, _div(number, BASE) % BASE, _div(number, BASE**2)):
-        moved.append(part * up + carry)
-        carry = _div(moved[-1], BASE)
-    printed = [*[m % BASE for m in moved], carry]
-    common = _is_common(value)
-    return [F.when(common, a).otherwise(b) for a, b in zip(plain, printed, strict=True)]
-
-
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    second = f"(y.b + y.a div {BASE})"
+    third = f"(y.c + {second} div {BASE})"
+    part = (
+        f"named_struct('range', CASE WHEN abs({v}) < double('Infinity') THEN y.range"
+        f" WHEN isnan({v}) THEN {NOT_A_NUMBER} WHEN {v} > 0 THEN {INFINITE}"
+        f" ELSE {MINUS_INFINITE} END,"
+        f" 'digits', array(y.a % {BASE}, {second} % {BASE}, {third} % {BASE}, {third} div {BASE}))"
+    )
+    return _let(printed, "x", _let(moved, "y", part))
 
 
-def _carried(digits: Column) -> Column:
+def _carried(digits: str) -> str:
     """Digits brought between 0 and BASE - 1, lowest first, and what is carried out of the top."""
-    start = F.struct(F.array().cast("array<bigint>").alias("out"), lit(0).cast("long").alias("c"))
-
-    def step(state: Column, digit: Column) -> Column:
-        value = digit + state["c"]
-        low = F.pmod(value, lit(BASE).cast("long"))
-        return F.struct(
-            F.concat(state["out"], F.array(low)).alias("out"), _div(value - low, BASE).alias("c")
-        )
-
-    return F.reduce(digits, start, step)
+    return (
+        f"aggregate({digits}, named_struct('o', CAST(array() AS ARRAY<BIGINT>), 'c', 0L),"
+        f" (s, d) -> named_struct('o', concat(s.o, array(pmod(d + s.c, {BASE}))),"
+        f" 'c', (d + s.c - pmod(d + s.c, {BASE})) div {BASE}))"
+    )
 
 
-def _nearest(digits: Column, first: Column) -> Column:
+def _nearest(digits: str, first: str) -> str:
     """The double nearest to carried digits, of which the lowest is that of the range ``first``."""
-    written = F.transform(F.reverse(digits), lambda d: F.lpad(d.cast("string"), PLACES, "0"))
-    power = first * PLACES - COMMON_PLACES
-    return F.concat(F.array_join(written, ""), lit("E"), power.cast("string")).cast("double")
+    written = f"transform(reverse({digits}), g -> lpad(CAST(g AS STRING), {PLACES}, '0'))"
+    power = f"CAST({first} * {PLACES} - 6 AS STRING)"
+    return f"CAST(concat(array_join({written}, ''), 'E', {power}) AS DOUBLE)"
 
 
-def _rounded(parts: Column) -> Column:
+def _rounded(parts: str) -> str:
     """The sum of an array of structs (range, digits), as the nearest double."""
+    # Two places more for what a trillion values carry up.
+    digits = (
+        f"transform(sequence(0, b.l - b.f + {DIGITS + 1}), i -> aggregate(p, 0L,"
+        " (t, e) -> t + coalesce(get(e.digits, i - (e.range - b.f)), 0L)))"
+    )
+    minus = _nearest(f"{_carried('transform(d, x -> -x)')}.o", "b.f")
+    signed = f"CASE WHEN u.c < 0 THEN -{minus} ELSE {_nearest('u.o', 'b.f')} END"
+    span = (
+        "named_struct('f', array_min(transform(p, e -> e.range)),"
+        " 'l', array_max(transform(p, e -> e.range)))"
+    )
+    finite = _let(span, "b", _let(digits, "d", _let(_carried("d"), "u", signed)))
+    # A common sum that a double tells apart: one division rounds it.
+    small = (
+        f"size(p) = 1 AND p[0].range = {COMMON} AND abs(p[0].digits[0]) < 1000000000000000L"
+        " AND abs(p[0].digits[1]) < 100000000L AND p[0].digits[2] = 0"
+    )
 
-    def finite(parts: Column) -> Column:
-        first = F.array_min(F.transform(parts, lambda p: p["range"]))
-        last = F.array_max(F.transform(parts, lambda p: p["range"]))
-        # Two more for what a trillion values carry up.
-        places = F.sequence(lit(0), last - first + DIGITS + 1)
-        digits = F.transform(
-            places,
-            lambda i: F.reduce(
-                parts,
-                lit(0).cast("long"),
-                lambda total, p: total
-                + F.coalesce(F.get(p["digits"], i - (p["range"] - first)), lit(0)),
-            ),
-        )
-
-        def signed(digits: Column) -> Column:
-            negative = F.transform(digits, lambda d: -d)
-            return _let(
-                _carried(digits),
-                lambda up: F.when(
-                    up["c"] < 0, -_nearest(_carried(negative)["out"], first)
-                ).otherwise(_nearest(up["out"], first)),
-            )
+    def has(kind: int) -> str:
+        return f"exists(p, e -> e.range = {kind})"
 
-        return _let(digits, signed)
-
-    def has(parts: Column, kind: int) -> Column:
-        return F.exists(parts, lambda p: p["range"] == kind)
-
-    def settled(parts: Column) -> Column:
-        both = has(parts, INFINITE) & has(parts, MINUS_INFINITE)
-        return (
-            F.when(F.size(parts) == 0, lit(None).cast("double"))
-            .when(has(parts, NOT_A_NUMBER) | both, float("nan"))
-            .when(has(parts, INFINITE), float("inf"))
-            .when(has(parts, MINUS_INFINITE), float("-inf"))
-            .otherwise(finite(parts))
-        )
-
-    return _let(parts, settled)
-
-
-def exact_total(values: Column) -> Column:
-    """The exact sum of an array of doubles."""
-    present = F.filter(values, lambda v: v.isNotNull())
-    return _rounded(
-        F.transform(
-            present,
-            lambda v: F.struct(
-                range_of(v).alias("range"), F.array(*digits_of(v)).alias("digits")
-            ),
-        )
+    settled = f"""CASE WHEN size(p) = 0 THEN CAST(NULL AS DOUBLE)
+        WHEN {small} THEN CAST(p[0].digits[0] + p[0].digits[1] * {BASE} AS DOUBLE) / 1e6D
+        WHEN {has(NOT_A_NUMBER)} OR ({has(INFINITE)} AND {has(MINUS_INFINITE)}) THEN double('NaN')
+        WHEN {has(INFINITE)} THEN double('Infinity')
+        WHEN {has(MINUS_INFINITE)} THEN double('-Infinity')
+        ELSE {finite} END"""
+    return _let(parts, "p", settled)
+
+
+def exact_total(name: str) -> Column:
+    """The exact sum of a column of arrays of doubles."""
+    digits = ", ".join(_common_digits(_common_steps("v")))
+    part = (
+        f"CASE WHEN {_is_common('v')} THEN"
+        f" named_struct('range', {COMMON}, 'digits', array({digits})) ELSE {_odd_part('v')} END"
     )
+    return F.expr(_rounded(f"transform(filter({name}, v -> v IS NOT NULL), v -> {part})"))
 
 
 # --- two aggregations -----------------------------------------------------------------
 
 
-def range_key(value: str | Column, name: str) -> Column:
-    """The further key of an aggregation of ``sum_parts``."""
-    return range_of(_column(value)).alias(f"{name}_range")
+def with_digits(df: DataFrame, values: dict[str, str | Column]) -> DataFrame:
+    """Add what ``range_key`` and ``sum_parts`` need of the named values.
+
+    As columns of their own they are worked out once per row, and the printed form only where a
+    value is not common.
+    """
+    named = df.withColumns({f"{name}_value": _column(v) for name, v in values.items()})
+    split = {}
+    for name in values:
+        v = f"{name}_value"
+        odd = f"CASE WHEN {v} IS NOT NULL AND NOT {_is_common(v)} THEN {_odd_part(v)} END"
+        split |= {f"{name}_steps": F.expr(_common_steps(v)), f"{name}_odd": F.expr(odd)}
+    return named.withColumns(split).drop(*[f"{name}_value" for name in values])
+
+
+def range_key(name: str) -> Column:
+    """The further key of an aggregation of ``sum_parts``; without a value the common range."""
+    return F.expr(f"coalesce({name}_odd.range, {COMMON})").alias(f"{name}_range")
 
 
-def sum_parts(value: str | Column, name: str) -> list[Column]:
+def sum_parts(name: str) -> list[Column]:
     """What an aggregation by the group's keys and ``range_key`` keeps of a value."""
-    value = _column(value)
+    steps, odd = f"{name}_steps", f"{name}_odd"
     return [
-        F.count(value).alias(f"{name}_n"),
-        *[F.sum(d).alias(f"{name}_digit{i}") for i, d in enumerate(digits_of(value))],
+        F.expr(f"count_if({steps} IS NOT NULL OR {odd} IS NOT NULL) AS {name}_n"),
+        *[
+            F.expr(
+                f"sum(CASE WHEN {odd} IS NULL THEN {common} ELSE {odd}.digits[{i}] END)"
+                f" AS {name}_digit{i}"
+            )
+            for i, common in enumerate(_common_digits(steps))
+        ],
     ]
 
 
@@ -219,9 +205,9 @@ def sum_of_parts(name: str) -> Column:
 
     A group's rows are one per combination of ranges.
     """
-    digits = F.array(*[col(f"{name}_digit{i}") for i in range(DIGITS)])
-    part = F.struct(col(f"{name}_range").alias("range"), digits.alias("digits"))
-    return _rounded(F.collect_list(F.when(col(f"{name}_n") > 0, part)))
+    digits = ", ".join(f"{name}_digit{i}" for i in range(DIGITS))
+    part = f"named_struct('range', {name}_range, 'digits', array({digits}))"
+    return F.expr(_rounded(f"collect_list(CASE WHEN {name}_n > 0 THEN {part} END)"))
 
 
 def avg_of_parts(name: str) -> Column:
@@ -301,9 +287,10 @@ def aggregate(df: DataFrame, keys: list[str | Column], *measures: Measure) -> Da
             prefix = values.setdefault(str(measure.value), named)[0]
         parts += measure.parts(prefix)
         totals.append(measure.total(prefix).alias(measure.name))
-    ranges = [range_key(value, prefix) for prefix, value in values.values()]
-    for prefix, value in values.values():
-        parts += sum_parts(value, prefix)
-    first = df.groupBy(*keys, *ranges).agg(*parts)
+    ranges = [range_key(prefix) for prefix, _ in values.values()]
+    for prefix, _ in values.values():
+        parts += sum_parts(prefix)
+    split = with_digits(df, dict(values.values())) if values else df
+    first = split.groupBy(*keys, *ranges).agg(*parts)
     names = [f"`{c}`" for c in first.columns[: len(keys)]]
     return first.groupBy(*names).agg(*totals)

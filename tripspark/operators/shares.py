@@ -22,8 +22,8 @@ def with_share(grouped: DataFrame, value: str, out: str) -> DataFrame:
     doubles is the exact one, whatever the order of the groups.
     """
     everything = Window.partitionBy()
-    if isinstance(grouped.schema[value].dataType, DoubleType):
-        total = exact_total(F.collect_list(col(value)).over(everything))
-    else:
+    if not isinstance(grouped.schema[value].dataType, DoubleType):
         total = F.sum(col(value)).over(everything)
-    return grouped.withColumn(out, percentage(col(value), total))
+        return grouped.withColumn(out, percentage(col(value), total))
+    listed = grouped.withColumn("_all", F.collect_list(col(value)).over(everything))
+    return listed.withColumn(out, percentage(col(value), exact_total("_all"))).drop("_all")

@@ -26,6 +26,7 @@ from tripspark.operators.exact import (
     sum_of_parts,
     sum_parts,
     whole_avg,
+    with_digits,
 )
 from tripspark.operators.star import (
     Star,
@@ -102,12 +103,10 @@ def daily_trends_joined(star: Star) -> DataFrame:
     Trips are added up per minute first, so the join moves a few rows per minute at most,
     however many trips a busy minute has.
     """
-    ranges = [range_key("FareAmount", "fare"), range_key("TotalAmount", "revenue")]
-    per_minute = star.good().groupBy("PickupDateTimeID", *ranges).agg(
-        F.count(lit(1)).alias("n"),
-        *sum_parts("FareAmount", "fare"),
-        *sum_parts("TotalAmount", "revenue"),
-    )
+    split = with_digits(star.good(), {"fare": "FareAmount", "revenue": "TotalAmount"})
+    per_minute = split.groupBy(
+        "PickupDateTimeID", range_key("fare"), range_key("revenue")
+    ).agg(F.count(lit(1)).alias("n"), *sum_parts("fare"), *sum_parts("revenue"))
     return (
         with_time_joined(per_minute, star.dimtime)
         .groupBy("trip_date", "fare_range", "revenue_range")
@@ -465,14 +464,14 @@ def gold_parts(star: Star) -> DataFrame:
             strict=True,
         )
     )
-    trips = with_pickup(with_trip_key(star.fact, star), star)
+    trips = with_pickup(with_trip_key(with_digits(star.fact, values), star), star)
     day = tk.int_div(col("trip_key"), 10_000)
-    ranges = [range_key(value, name) for name, value in values.items()]
+    ranges = [range_key(name) for name in PART_VALUES]
     return (
         trips.groupBy("source_date", day.alias("day_number"), "pickup_borough", *ranges)
         .agg(
             F.count_if(good).alias("trip_count"),
-            *[part for name, value in values.items() for part in sum_parts(value, name)],
+            *[part for name in PART_VALUES for part in sum_parts(name)],
         )
         .withColumn("trip_date", tk.key_date(col("day_number") * 10_000))
         .drop("day_number")
