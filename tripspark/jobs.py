@@ -23,6 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tripspark.plans import gold, silver  # noqa: E402
 from tripspark.session import CLUSTER_CONF  # noqa: E402
 from tripspark.sinks.tables import create_namespace, refresh_table  # noqa: E402
+from tripspark.sources.tables import table_exists  # noqa: E402
 
 log = logging.getLogger(__name__)
 
@@ -38,6 +39,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     facts.add_argument("--start-date", type=date.fromisoformat, help="default: yesterday")
     facts.add_argument("--end-date", type=date.fromisoformat, help="default: the start date")
     facts.add_argument("--data-year-offset", type=int, default=1)
+    facts.add_argument(
+        "--cluster", action="store_true", help="order days by place and time at once"
+    )
 
     dims = jobs.add_parser("dimensions", help="rebuild the four dimensions")
     dims.add_argument("--zones", required=True, help="zone lookup CSV")
@@ -49,7 +53,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     rollups = jobs.add_parser("gold", help="bring the aggregate tables up to date")
     rollups.add_argument("--gold-namespace", default="gold")
     rollups.add_argument(
-        "--start-date", type=date.fromisoformat, help="first bronze day to read; default: all"
+        "--start-date",
+        type=date.fromisoformat,
+        help="first bronze day to read; without dates the days that changed",
     )
     rollups.add_argument("--end-date", type=date.fromisoformat, help="last bronze day to read")
     return parser.parse_args(argv)
@@ -61,7 +67,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job == "facts":
         days = silver.load_days(args.start_date, args.end_date, args.data_year_offset)
         outcome = silver.load_facts(
-            spark, args.bronze, f"{args.namespace}.fact_trip", days, args.provider
+            spark, args.bronze, f"{args.namespace}.fact_trip", days, args.provider, args.cluster
         )
         # Worked out once and kept as a table, one row per planned day.
         refresh_table(outcome, f"{args.namespace}.load_outcome", args.provider)
@@ -80,6 +86,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         )
         return 0
     star = silver.star_from_tables(spark, args.namespace)
+    ledger = f"{args.namespace}.fact_trip_ledger"
+    if args.start_date is None and args.end_date is None and table_exists(spark, ledger):
+        changed = gold.refresh_changed(star, ledger, args.gold_namespace, args.provider)
+        log.warning("days rebuilt: %s", len(changed))
+        return 0
     gold.refresh_gold(star, args.gold_namespace, args.provider, args.start_date, args.end_date)
     return 0
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from tripspark.functions import timekeys as tk
 from tripspark.functions.buckets import distance_category
+from tripspark.operators.clustering import runs
 from tripspark.operators.star import Star
 
 
@@ -31,12 +34,30 @@ def last_30_days(as_of: date) -> DashboardFilters:
     return DashboardFilters(first_date=as_of - timedelta(days=30), last_date=as_of)
 
 
-def apply_filters(star: Star, f: DashboardFilters) -> Star:
+def _months_covered(f: DashboardFilters) -> list[tuple[int, int]]:
+    """The selected years and months as ranges of the minute key, without gaps."""
+    months = [y * 12 + m - 1 for y in f.years for m in f.months or range(1, 13)]
+
+    def first(month: int) -> int:
+        return tk.date_key(date(month // 12, month % 12 + 1, 1))
+
+    return [(first(a), first(b + 1)) for a, b in runs(months)]
+
+
+def _any_range(value: Column, ranges: list[tuple[int, int]]) -> Column:
+    return reduce(or_, [(value >= a) & (value <= b) for a, b in ranges])
+
+
+def apply_filters(star: Star, f: DashboardFilters, skip: bool = False) -> Star:
     """The same star with a smaller fact.
 
     Dates become a range of the minute key, which parquet statistics can skip on.
     Boroughs and payment types are semi joins with the matching dimension rows, so no
     dimension column is carried into charts that do not show it.
+
+    With ``skip``, for facts that were written clustered, years, months and boroughs are also given
+    to the scan as ranges of the key and of the place, so it passes over row groups by either. The
+    places of the boroughs, a bounded part of a dimension, are looked up when this is called.
     """
     fact = star.fact
     key = col("PickupDateTimeID")
@@ -46,6 +67,8 @@ def apply_filters(star: Star, f: DashboardFilters) -> Star:
         fact = fact.filter(key < tk.date_key(f.last_date + timedelta(days=1)))
     if f.first_date or f.last_date or f.years or f.months:
         fact = fact.filter(star.calendar.covers(key))
+    if skip and f.years:
+        fact = fact.filter(_any_range(key, _months_covered(f)))
     if f.years:
         fact = fact.filter(tk.key_year(key).isin(f.years))
     if f.months:
@@ -54,6 +77,9 @@ def apply_filters(star: Star, f: DashboardFilters) -> Star:
         fact = fact.filter(distance_category(col("TripDistance")).isin(f.distance_categories))
     if f.boroughs:
         zones = star.dimlocation.filter(col("Borough").isin(f.boroughs)).select("LocationID")
+        if skip:
+            ids = [r[0] for r in zones.filter("LocationID IS NOT NULL").collect()]
+            fact = fact.filter(_any_range(col("PULocationID"), runs(ids) or [(1, 0)]))
         fact = fact.join(zones, col("PULocationID") == col("LocationID"), "left_semi")
     if f.payment_types:
         kinds = star.dimpayment.filter(col("paymenttype").isin(f.payment_types)).select(

@@ -508,8 +508,7 @@ def refresh_gold(
     With bounds only the trips loaded from the bronze days ``first`` to ``last`` are read. Their
     parts replace those days in ``trip_parts``, a few rows per day, from which both tables are made.
     """
-    spark = star.spark
-    sink.create_namespace(spark, namespace)
+    sink.create_namespace(star.spark, namespace)
     fact = star.fact
     if first is not None:
         fact = fact.filter(col("source_date") >= lit(first))
@@ -517,11 +516,15 @@ def refresh_gold(
         fact = fact.filter(col("source_date") <= lit(last))
     parts = f"{namespace}.trip_parts"
     sink.overwrite_partitions(gold_parts(star.with_fact(fact)), parts, "source_date", provider)
+    _from_trip_parts(star, namespace, provider)
+
+
+def _from_trip_parts(star: Star, namespace: str, provider: str) -> None:
+    """Make both aggregate tables of ``trip_parts``."""
+    parts = star.spark.table(f"{namespace}.trip_parts")
     tip = F.try_divide(sum_of_parts("percent") / STEPS, F.sum("percent_n"))
-    daily = _from_parts(
-        spark.table(parts), "trip_date", "daily_revenue", tip.alias("avg_tip_percentage")
-    )
-    boroughs = spark.table(parts).filter("pickup_borough IS NOT NULL")
+    daily = _from_parts(parts, "trip_date", "daily_revenue", tip.alias("avg_tip_percentage"))
+    boroughs = parts.filter("pickup_borough IS NOT NULL")
     sink.refresh_table(daily, f"{namespace}.daily_aggregations", provider)
     sink.refresh_table(
         _from_parts(boroughs, "pickup_borough", "total_revenue"),
@@ -530,6 +533,67 @@ def refresh_gold(
     )
 
 
+def changed_days(ledger: DataFrame, built: DataFrame) -> DataFrame:
+    """(source_date, gone, rows, digest): the days whose ledger entry is not the one they were
+    built from.
+
+    A day that is being written has no digest and always counts as changed.
+    """
+    now = ledger.select("source_date", "rows", "digest")
+    then = built.select(
+        "source_date", col("rows").alias("built_rows"), col("digest").alias("built_digest")
+    )
+    same = col("rows").eqNullSafe(col("built_rows")) & col("digest").eqNullSafe(
+        col("built_digest")
+    )
+    there = F.coalesce(col("rows"), lit(1)) > 0
+    days = now.withColumn("listed", lit(True)).join(then, "source_date", "full_outer")
+    gone = col("listed").isNull() | ~there
+    known = gone & col("built_rows").isNull()  # it was never built
+    return days.filter(~known & (col("listed").isNull() | col("digest").isNull() | ~same)).select(
+        "source_date", gone.alias("gone"), "rows", "digest"
+    )
+
+
+def refresh_changed(
+    star: Star, ledger: str, namespace: str, provider: str = "parquet"
+) -> dict[date, bool]:
+    """Bring the aggregate tables up to date with the days that changed, by their ledger.
+
+    Only trips of those days are read; the parts of days that are gone are removed. Returns the
+    days, true for those that are gone. What was built is noted in ``parts_ledger`` at the end, so
+    that a refresh which dies half way is done again.
+    """
+    spark = star.spark
+    sink.create_namespace(spark, namespace)
+    parts, built = f"{namespace}.trip_parts", f"{namespace}.parts_ledger"
+    now = spark.table(ledger)
+    sink.create_table(spark, built, now.schema, partition_by=["source_date"], provider=provider)
+    # One row per changed day.
+    changed = changed_days(now, spark.table(built)).collect()
+    if not changed:
+        return {}
+    present = [r.source_date for r in changed if not r.gone]
+    removed = [r.source_date for r in changed if r.gone]
+    # What is noted is what the ledger said before the trips were read.
+    entries = [
+        (r.source_date, r.rows, r.digest)
+        for r in changed
+        if not r.gone and r.digest is not None
+    ]
+    trips = star.fact.filter(col("source_date").isin(present))
+    sink.overwrite_partitions(gold_parts(star.with_fact(trips)), parts, "source_date", provider)
+    sink.drop_days(spark, parts, "source_date", removed)
+    _from_trip_parts(star, namespace, provider)
+    sink.drop_days(spark, built, "source_date", removed)
+    if entries:
+        noted = spark.createDataFrame(entries, "source_date date, rows long, digest long")
+        sink.overwrite_partitions(
+            noted.coalesce(1), built, "source_date", provider, rebalance=False
+        )
+    return {r.source_date: r.gone for r in changed}
+
+
 # --- reports --------------------------------------------------------------------------
 
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
 from tripspark.functions import timekeys as tk
 from tripspark.functions.quality import add_quality_checks
+from tripspark.operators.clustering import z_order
 from tripspark.operators.star import Calendar, Star
 from tripspark.schemas import BRONZE_TRIP, FACT_TRIP, check_schema
 from tripspark.sinks import tables as sink
@@ -182,6 +184,32 @@ def all_failed(outcome: DataFrame) -> bool:
     return row["days"] > 0 and row["ok"] == 0
 
 
+# Days of one write. Each has two numbers counted beside it.
+DAYS_AT_ONCE = 62
+LEDGER = "source_date date, rows long, digest long"
+
+
+def _counted(days: list[date]) -> tuple[Observation, Callable[[DataFrame], DataFrame]]:
+    """What counts the rows of every day and their digest as they are written.
+
+    The digest is the exclusive or of the rows' hashes: equal for equal rows in any order.
+    """
+    counts = Observation()
+
+    def observe(rows: DataFrame) -> DataFrame:
+        digest = F.xxhash64(*rows.columns)
+        metrics = []
+        for i, day in enumerate(days):
+            here = col("source_date") == lit(day)
+            metrics += [
+                F.count_if(here).alias(f"rows_{i}"),
+                F.bit_xor(F.when(here, digest)).alias(f"digest_{i}"),
+            ]
+        return rows.observe(counts, *metrics)
+
+    return counts, observe
+
+
 def write_days(
     spark: SparkSession,
     root: str,
@@ -189,29 +217,68 @@ def write_days(
     files: dict[date, list[str]],
     offset_years: int = 1,
     provider: str = "parquet",
-) -> dict[date, str]:
-    """Write whole days; returns what went wrong on days that could not be written.
+    cluster: bool = False,
+) -> tuple[dict[date, tuple[int, int]], dict[date, str]]:
+    """Write whole days; returns the rows and digest of those written, counted in the write
+    itself, and what went wrong on those that could not be.
 
-    All days are one scan and one write. Only if that fails are they halved, so that a file
-    which cannot be read costs its own day and no other.
+    Up to ``DAYS_AT_ONCE`` days are one scan and one write. Only if that fails are they halved, so
+    that a file which cannot be read costs its own day and no other.
     """
-    if not files:
-        return {}
-    try:
-        fact = transform_trips(bronze.read_days(spark, root, files), offset_years)
-        sink.overwrite_partitions(
-            fact, table, "source_date", provider, sort_by="PickupDateTimeID"
-        )
-        return {}
-    except (PySparkException, Py4JJavaError) as problem:
-        days = list(files)
-        if len(days) == 1:
-            return {days[0]: str(problem)[:500]}
+    days = list(files)
+    if not days:
+        return {}, {}
+    problem = None
+    if len(days) <= DAYS_AT_ONCE:
+        counts, observe = _counted(days)
+        try:
+            fact = transform_trips(bronze.read_days(spark, root, files), offset_years)
+            sink.overwrite_partitions(
+                fact,
+                table,
+                "source_date",
+                provider,
+                sort_by=place_and_time() if cluster else "PickupDateTimeID",
+                cluster=cluster,
+                observe=observe,
+            )
+            found = counts.get
+            return {
+                day: (found[f"rows_{i}"], found[f"digest_{i}"]) for i, day in enumerate(days)
+            }, {}
+        except (PySparkException, Py4JJavaError) as error:
+            problem = str(error)[:500]
+    if len(days) == 1:
+        return {}, {days[0]: problem}
+    written: dict[date, tuple[int, int]] = {}
     failed: dict[date, str] = {}
     for some in (days[: len(days) // 2], days[len(days) // 2 :]):
         part = {day: files[day] for day in some}
-        failed |= write_days(spark, root, table, part, offset_years, provider)
-    return failed
+        done, wrong = write_days(spark, root, table, part, offset_years, provider, cluster)
+        written |= done
+        failed |= wrong
+    return written, failed
+
+
+def place_and_time() -> Column:
+    """Z-order of the pickup place and the minute of the day.
+
+    Rows near in both are near in the order, so the statistics of a run of rows are narrow
+    in both. Places above 511 share a cell with lower ones, which costs skipping only.
+    """
+    key = col("PickupDateTimeID")
+    minute = F.expr("PickupDateTimeID % 10000 div 100 * 60 + PickupDateTimeID % 100")
+    slot = F.coalesce(F.when(key.isNotNull(), minute * 512 / 1440), lit(0))
+    return z_order([F.pmod(F.coalesce("PULocationID", lit(0)), lit(512)), slot], 9)
+
+
+def _note(spark: SparkSession, table: str, rows: list[tuple], provider: str) -> None:
+    """Put days into the ledger of a table, in place of what it says of them."""
+    if rows:
+        ledger = spark.createDataFrame(rows, LEDGER).coalesce(1)
+        sink.overwrite_partitions(
+            ledger, f"{table}_ledger", "source_date", provider, rebalance=False
+        )
 
 
 def load_facts(
@@ -220,33 +287,41 @@ def load_facts(
     table: str,
     days: LoadDays,
     provider: str = "parquet",
+    cluster: bool = False,
 ) -> DataFrame:
     """Load a range of days; returns the outcome per day.
 
     Days are replaced as whole partitions, so loading one twice does not duplicate it. The outcome
-    counts the rows that were written, not what the bronze folders hold by then; a day that
-    could not be read counts as failed, whatever an earlier load left of it.
+    counts the rows as they are written; the table is not read again. A day that could not be
+    read counts as failed, whatever an earlier load left of it.
+
+    The table ``<table>_ledger`` holds rows and digest of every day. While a day is being written
+    its digest is NULL there, so that a load which dies half way is seen as a change.
     """
     first, last = source_bounds(spark, days)
     files = bronze.day_files(spark, bronze_root, first, last) if first <= last else {}
-    failed = write_days(spark, bronze_root, table, files, days.offset_years, provider)
+    _note(spark, table, [(day, None, None) for day in files], provider)
+    written, failed = write_days(
+        spark, bronze_root, table, files, days.offset_years, provider, cluster
+    )
     for day, problem in failed.items():
         log.warning("%s was not loaded: %s", day, problem)
-    written = [(day,) for day in files if day not in failed]
-    done = spark.createDataFrame(written, "source_date date")
-    if written:
-        counts = (
-            spark.table(table)
-            .filter(col("source_date").between(lit(written[0][0]), lit(written[-1][0])))
-            .groupBy("source_date")
-            .agg(F.count(lit(1)).alias("rows"))
-            .join(done, "source_date", "left_semi")
-        )
-    else:
-        counts = done.withColumn("rows", lit(0).cast("long"))
+    # A day whose files hold no rows replaces nothing, so what is there of it is not known.
+    _note(spark, table, [(d, n, digest) for d, (n, digest) in written.items() if n], provider)
+    counts = spark.createDataFrame(
+        [(day, n) for day, (n, _) in written.items()], "source_date date, rows long"
+    )
     return load_outcome(counts, _bounds(spark, days), days.offset_years)
 
 
+def delete_days(
+    spark: SparkSession, table: str, days: list[date], provider: str = "parquet"
+) -> None:
+    """Remove loaded days, in the ledger too."""
+    sink.drop_days(spark, table, "source_date", days)
+    _note(spark, table, [(day, 0, 0) for day in days], provider)
+
+
 def build_dimensions(
     spark: SparkSession,
     zones_path: str,

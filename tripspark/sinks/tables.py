@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,29 +101,43 @@ def overwrite_partitions(
     partition_by: str,
     provider: str = "parquet",
     rebalance: bool = True,
-    sort_by: str | None = None,
+    sort_by: str | Column | None = None,
+    cluster: bool = False,
+    observe: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Replace only the partitions present in ``df``, so a second run changes nothing.
 
     The rebalance step shuffles once and gives each partition value files near the advisory size:
     many small source files are merged and one very large day is split over several tasks. Rows
-    sorted inside a file let a reader skip by the column's statistics.
+    sorted inside a file let a reader skip by the column's statistics. With ``cluster`` rows are
+    dealt out by ranges of (partition, sort key) instead, so that the files of a large day hold
+    different ranges too; the ranges cost a sampling pass over ``df``.
+
+    ``observe`` is applied to the rows behind the shuffle, in the stage that writes them.
     """
     spark = df.sparkSession
     others = [c for c in df.columns if c.lower() != partition_by.lower()]
     ordered = df.select(*others, partition_by)
     create_table(spark, name, ordered.schema, partition_by=[partition_by], provider=provider)
     ordered = ordered.select(*spark.table(name).columns)
-    balanced = ordered.hint("rebalance", partition_by) if rebalance else ordered
-    if sort_by is not None:
-        balanced = balanced.sortWithinPartitions(partition_by, sort_by)
+
+    def written(rows: DataFrame) -> DataFrame:
+        if cluster and sort_by is not None:
+            rows = rows.repartitionByRange(partition_by, sort_by)
+        elif rebalance:
+            rows = rows.hint("rebalance", partition_by)
+        rows = observe(rows)
+        return rows if sort_by is None else rows.sortWithinPartitions(partition_by, sort_by)
+
     if _is_v2(spark, name):
-        balanced.writeTo(name).overwritePartitions()
+        written(ordered).writeTo(name).overwritePartitions()
         return
-    _insert_partitions(balanced, name)
+    _insert_partitions(ordered, name, written)
 
 
-def _insert_partitions(df: DataFrame, name: str) -> None:
+def _insert_partitions(
+    df: DataFrame, name: str, written: Callable[[DataFrame], DataFrame]
+) -> None:
     """Overwrite the partitions of a table of the built-in catalog that ``df`` has.
 
     Which partitions such a write replaces is a session setting, so the write runs in a session
@@ -138,12 +154,26 @@ def _insert_partitions(df: DataFrame, name: str) -> None:
                 session.conf.set(key, value)
         session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
-        session.table(f"global_temp.{view}").write.insertInto(name, overwrite=True)
+        rows = written(session.table(f"global_temp.{view}"))
+        rows.write.insertInto(name, overwrite=True)
     finally:
         spark.catalog.dropGlobalTempView(view)
     spark.catalog.refreshTable(name)
 
 
+def drop_days(spark: SparkSession, name: str, partition_by: str, days: Iterable[date]) -> None:
+    """Remove whole days from a table partitioned by day."""
+    days = [f"DATE'{day.isoformat()}'" for day in days]
+    if not days:
+        return
+    if _is_v2(spark, name):
+        spark.sql(f"DELETE FROM {name} WHERE {partition_by} IN ({', '.join(days)})")
+        return
+    parts = ", ".join(f"PARTITION ({partition_by} = {day})" for day in days)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    spark.catalog.refreshTable(name)
+
+
 def overwrite_partition_files(df: DataFrame, path: str, partition_by: str) -> None:
     """The same for a folder of parquet files without a catalog entry."""
     (
