@@ -40,7 +40,12 @@ def sql(rows):
     return names, found.fetchall()
 
 
-@pytest.mark.parametrize("rows", [many(1), many(2, 30), []])
+def one_opening(n=2500):
+    said = {i: f"{i * 7 % 50:02} {i * 1009 % n:05}" for i in range(n)}
+    return [r for i in range(n) for r in ((i, 0, "user", "hi"), (i, 1, "assistant", said[i]))]
+
+
+@pytest.mark.parametrize("rows", [many(1), many(2, 30), one_opening(), []])
 def test_matches_sql(spark, rows):
     names, want = sql(rows)
     got = chat_format.report(conversations(spark, rows)).select(names).collect()

@@ -10,9 +10,8 @@ the same turn are alternatives; sorted by their text, neighbours are paired, so
 prefix is long. The one with more assistant text is chosen, on a tie the one of the smaller id.
 Conversations are dealt out by ranges of (opening, text, conv_id) and numbered inside a range;
 the small counts of the ranges give each its first number, so a large opening is divided over
-tasks and its neighbours stay the same. ORACLE still divides an opening of more than 1,000
-conversations by conv_id, and agrees up to there. A conversation that is left over gives a row without a rejected side: what comes
-before its last assistant turn is the prompt.
+tasks and its neighbours stay the same. A conversation that is left over gives a row without a
+rejected side: what comes before its last assistant turn is the prompt.
 
 Defined cases: rows without conv_id belong to no conversation and give nothing. A NULL turn number
 sorts first, a NULL role is 'unknown', a NULL text is empty. Repeated rows are repeated turns.
@@ -207,14 +206,11 @@ WITH said AS (
          max(i) AS n, max(CASE WHEN role = 'assistant' THEN i END) AS last_answer
   FROM numbered
   GROUP BY conv_id
-), parted AS (
-  SELECT *, conv_id % CAST(ceil(count(*) OVER (PARTITION BY opening) / 1000) AS BIGINT) AS part
-  FROM conv
 ), placed AS (
   SELECT *, row_number() OVER w AS place, lead(conv_id) OVER w AS other_id,
          lead(answer_chars) OVER w AS other_chars
-  FROM parted
-  WINDOW w AS (PARTITION BY opening, part ORDER BY whole, conv_id)
+  FROM conv
+  WINDOW w AS (PARTITION BY opening ORDER BY whole, conv_id)
 ), pair AS (
   SELECT *, other_chars > answer_chars
          OR (other_chars = answer_chars AND other_id < conv_id) AS swap
