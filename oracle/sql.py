@@ -424,6 +424,21 @@ UNION ALL SELECT 'dimlocation', COUNT(*) FROM loc""",
         "timed", "trip_date", N, AVG_FARE, _sum("daily_revenue"),
         where="trip_date BETWEEN DATE '2001-05-31' AND DATE '2001-06-30'",
     ),
+    "cross_filter_months": _grouped(
+        "joined", "trip_year, trip_month", N, _sum("monthly_revenue"), AVG_FARE, where=SELECTION
+    ),
+    "cross_filter_payments": _grouped(
+        "joined", "payment_type AS paymenttype", N, _sum(), AVG_REVENUE, AVG_TIP, where=SELECTION
+    ),
+    "cross_filter_distances": _grouped(
+        "joined", "distance_category", N, AVG_FARE, _avg("duration", "avg_duration_minutes"),
+        _avg("true_minutes", "avg_true_minutes"), where="pickup_borough = 'ASIA'",
+    ),
+    "rollup_boroughs": _share(
+        "pickup_borough AS borough", "joined", "pickup_borough IS NOT NULL",
+        "borough, trip_count, revenue AS total_revenue, per_trip AS avg_revenue_per_trip",
+        "revenue", "revenue_percentage",
+    ),
     "drilldown_zones": _grouped(
         "joined", "pickup_zone", N, _sum(), AVG_FARE, where="pickup_borough = 'ASIA'"
     ),
@@ -532,4 +547,9 @@ for _name in (
 ORACLE["trips_wide_partial"] = _partial(ORACLE["trips_wide"]).replace(
     ", true_minutes AS trip_true_minutes", ""
 )
+ORACLE["dimtime_sample"] = (
+    f"SELECT * FROM ({ORACLE['dimtime']}) "
+    "WHERE CAST('0x' || substr(md5('7:' || timeid), 1, 8) AS BIGINT) < 0.25 * 4294967296 "
+    "ORDER BY md5('7:' || timeid) LIMIT 100"
+)
 ORACLE["filtered_partial"] = _partial(ORACLE["filtered_dashboard"])

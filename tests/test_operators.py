@@ -1,5 +1,6 @@
 """Star joins, filters, shares and histograms against brute force on small fixtures."""
 
+import hashlib
 import math
 import random
 from datetime import date
@@ -26,7 +27,7 @@ from tripspark.operators.exact import (
 )
 from tripspark.operators.histogram import histogram, not_in_bins
 from tripspark.operators.star import Calendar, Star, with_time, with_time_joined
-from tripspark.plans import charts, gold, wide
+from tripspark.plans import charts, gold, rollup, wide
 from tripspark.schemas import DIMLOCATION, FACT_TRIP
 from tripspark.sources import dimensions
 
@@ -64,6 +65,13 @@ def star(spark):
     )
 
 
+@pytest.fixture(scope="module")
+def stored_rollup(star, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("rollup"))
+    rollup.write(star, path)
+    return rollup.read(star.spark, path)
+
+
 @pytest.fixture(scope="module")
 def trips(star):
     return [r.asDict() for r in star.fact.collect()]
@@ -361,3 +369,61 @@ def test_average_percentage(spark):
     assert average(None) is None
     assert np.isnan(average(1.0, float("nan")))
     assert average(1.0, float("inf")) == float("inf")
+
+
+def test_keyed_sample_is_the_same_in_any_partitioning(spark):
+    df = spark.range(5000).select(col("id").alias("k"), (col("id") % 7).alias("v"))
+    want = sorted(
+        (hashlib.md5(f"3:{k}".encode()).hexdigest(), k, k % 7) for k in range(5000)
+    )
+    for parts in (1, 9):
+        got = filters.keyed_sample(df.repartition(parts), "k", 40, seed=3).collect()
+        assert [tuple(r) for r in got] == [w[1:] for w in want[:40]]
+    halves = [filters.keyed_sample(df.filter(c), "k", 40, seed=3) for c in ("k < 900", "k >= 900")]
+    merged = filters.keyed_sample(halves[0].union(halves[1]), "k", 40, seed=3)
+    assert [tuple(r) for r in merged.collect()] == [w[1:] for w in want[:40]]
+    part = filters.keyed_sample(df, "k", 10**6, seed=3, fraction=0.1).count()
+    assert part == sum(int(h[:8], 16) < 0.1 * 2**32 for h, _, _ in want) and 400 < part < 600
+    other = filters.keyed_sample(df, "k", 40, seed=4).collect()
+    assert {r.k for r in other} != {w[1] for w in want[:40]}
+    assert filters.keyed_sample(df.withColumn("k", F.lit(None)), "k", 5, seed=1).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "selection",
+    [
+        filters.DashboardFilters(),
+        filters.DashboardFilters(boroughs=["Queens"], distance_categories=["1-3 miles", "10+ miles"]),
+        filters.DashboardFilters(years=[2024], months=[2], payment_types=["Credit card", "Cash"]),
+        filters.DashboardFilters(payment_types=["No such"]),
+        filters.DashboardFilters(months=[2]),
+    ],
+)
+def test_rollup_answers_any_selection(star, stored_rollup, selection):
+    chosen = filters.apply_filters(star, selection)
+    found = stored_rollup.filtered(selection)
+    for name in (
+        "monthly_trends", "year_over_year", "year_distribution", "seasonal_analysis",
+        "trips_by_borough", "top_boroughs", "payment_analysis", "distance_analysis",
+    ):
+        want = getattr(gold, name)(chosen)
+        got = getattr(found, name)()
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+            map(tuple, want.collect()), key=repr
+        )
+    names = ["total_trips", "total_revenue", "avg_fare", "avg_tip_percentage"]
+    assert found.kpis().first() == gold.kpi_summary(chosen).select(*names).first()
+
+
+def test_rollup_reads_the_smallest_level(stored_rollup):
+    one = filters.DashboardFilters(boroughs=["Queens"])
+    assert stored_rollup.level([]) == []
+    assert stored_rollup.filtered(one).level(["trip_month"]) == rollup.LEVELS[2]
+    assert stored_rollup.filtered(one).level(["payment_type"]) == rollup.DIMENSIONS
+    plan = stored_rollup.filtered(one).monthly_trends()._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("FileScan") == 1 and "TripDistance" not in text
+    assert "PartitionFilters: [isnotnull(level" in text
+    with pytest.raises(ValueError, match="months, not days"):
+        stored_rollup.filtered(filters.DashboardFilters(last_date=date(2024, 2, 5)))

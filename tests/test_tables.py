@@ -134,6 +134,29 @@ def test_csv_gives_back_every_value(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
 
 
+def test_one_csv_file_is_read_by_several_tasks(spark, tmp_path):
+    path, key = str(tmp_path / "csv"), "spark.sql.files.maxPartitionBytes"
+    texts = [f"{i}\nline\r\n\x1bn\x1b {i * 'x'}" for i in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n long, `a\nb` string")
+    csv_text.write_csv(df.coalesce(1), path)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        text = csv_text.read_csv_strings(spark, path)
+        assert len(text.inputFiles()) == 1 and text.rdd.getNumPartitions() > 5
+        got = text.select(col("n").cast("long"), "`a\nb`").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(map(tuple, got)) == list(enumerate(texts))
+
+
+def test_other_csv_files_keep_their_line_ends_and_escapes(spark, tmp_path):
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "part.csv").write_bytes(b'n,a\n1,"two\nlines \x1bn"\n')
+    (row,) = csv_text.read_csv_strings(spark, str(tmp_path / "other")).collect()
+    assert tuple(row) == ("1", "two\nlines \x1bn")
+
+
 def test_csv_refuses_the_text_that_marks_null(spark, tmp_path):
     df = spark.createDataFrame([(csv_text.NULL_MARK,)], "a string")
     with pytest.raises(Exception, match="marks NULL"):

@@ -9,7 +9,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import col
+from pyspark.sql.functions import col, lit
 
 from tripspark.functions import timekeys as tk
 from tripspark.functions.buckets import distance_category
@@ -101,3 +101,15 @@ def chart_rows(chart: DataFrame, cap: int | None = None) -> DataFrame:
 def sample_rows(df: DataFrame, fraction: float, n: int, seed: int) -> DataFrame:
     """A seeded Bernoulli sample in random order, at most ``n`` rows."""
     return df.sample(fraction=fraction, seed=seed).orderBy(F.rand(seed)).limit(n)
+
+
+def keyed_sample(df: DataFrame, key: str, n: int, seed: int, fraction: float = 1.0) -> DataFrame:
+    """The ``n`` rows with the smallest seeded hash of their key, of those below ``fraction``.
+
+    It depends on the keys alone: the same rows in any partitioning, order and engine. Samples of
+    parts of a table merge into that of the whole, so each task keeps ``n`` rows. Rows
+    with equal keys stand or fall together except at the end; a NULL key is in no sample.
+    """
+    tag = F.md5(F.concat(lit(f"{seed}:"), col(key).cast("string")).cast("binary"))
+    slot = F.conv(F.substring(tag, 1, 8), 16, 10).cast("long")
+    return df.filter(slot < fraction * 2**32).orderBy(tag).limit(n)

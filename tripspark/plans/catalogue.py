@@ -12,9 +12,14 @@ from pyspark.sql.functions import col, lit
 
 from tripspark.functions import timekeys as tk
 from tripspark.operators import files
-from tripspark.operators.filters import DashboardFilters, apply_filters, last_30_days
+from tripspark.operators.filters import (
+    DashboardFilters,
+    apply_filters,
+    keyed_sample,
+    last_30_days,
+)
 from tripspark.operators.star import Calendar, Star, bronze_zone_join
-from tripspark.plans import charts, gold, samples, silver, wide
+from tripspark.plans import charts, gold, rollup, samples, silver, wide
 from tripspark.session import shared_dir
 from tripspark.sources import dimensions, order_lines
 
@@ -84,6 +89,11 @@ def dimtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dimtime_between(order_lines.day_span(events, "ts"))
 
 
+def dimtime_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of the minute calendar, the same on every run."""
+    return keyed_sample(dimtime(spark, sf_dir), "timeid", 100, seed=7, fraction=0.25)
+
+
 def dimlocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines.locations(spark, sf_dir)
 
@@ -244,6 +254,17 @@ def filtered(plan: Callable[[Star], DataFrame], selection: DashboardFilters) ->
     return rows(lambda star: plan(apply_filters(star, selection)))
 
 
+def from_rollup(chart: Callable[[rollup.Rollup], DataFrame], selection: DashboardFilters) -> Query:
+    """A chart answered from the stored rollup of all trips."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark, "rollup")
+        rollup.write(star_of(spark, sf_dir), path)
+        return chart(rollup.read(spark, path).filtered(selection))
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     # indicators
     "kpi_total_trips": rows(gold.kpi_total_trips),
@@ -313,6 +334,12 @@ QUERIES: dict[str, Query] = {
     "filtered_payments": filtered(gold.payment_analysis, FILTERS),
     "filtered_recent": filtered(gold.daily_trends, RECENT),
     "drilldown_zones": rows(lambda star: gold.borough_zones(star, BOROUGH)),
+    "cross_filter_months": from_rollup(rollup.Rollup.monthly_trends, FILTERS),
+    "cross_filter_payments": from_rollup(rollup.Rollup.payment_analysis, FILTERS),
+    "cross_filter_distances": from_rollup(
+        rollup.Rollup.distance_analysis, DashboardFilters(boroughs=[BOROUGH])
+    ),
+    "rollup_boroughs": from_rollup(rollup.Rollup.top_boroughs, DashboardFilters()),
     # trips outside the calendar
     "daily_trends_partial": partial(gold.daily_trends),
     "daily_trends_joined_partial": partial(gold.daily_trends_joined),
@@ -326,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "fact_trip": fact_trip,
     "fact_plain": fact_plain,
     "dimtime": dimtime,
+    "dimtime_sample": dimtime_sample,
     "dimlocation": dimlocation,
     "dimpayment": dimpayment,
     "dimratecode": dimratecode,
