@@ -552,4 +552,17 @@ ORACLE["dimtime_sample"] = (
     "WHERE CAST('0x' || substr(md5('7:' || timeid), 1, 8) AS BIGINT) < 0.25 * 4294967296 "
     "ORDER BY md5('7:' || timeid) LIMIT 100"
 )
+ORACLE["daily_trends_bucketed"] = ORACLE["daily_trends"]
+ORACLE["file_new_by_ranges"] = ORACLE["file_new"]
+ORACLE["file_validation_by_ranges"] = ORACLE["file_validation"]
+ORACLE["table_footers"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, COUNT(*) AS row_count, CAST(MIN({key}) AS BIGINT) AS least, "
+    f"CAST(MAX({key}) AS BIGINT) AS greatest FROM {table}"
+    for table, key in (
+        ("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"),
+        ("part", "p_partkey"), ("supplier", "s_suppkey"), ("events", "event_id"),
+        ("documents", "doc_id"), ("pages", "page_id"), ("conversations", "conv_id"),
+        ("labels", "doc_id"), ("nation", "n_nationkey"),
+    )
+)
 ORACLE["filtered_partial"] = _partial(ORACLE["filtered_dashboard"])

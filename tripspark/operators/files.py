@@ -47,6 +47,60 @@ def validate(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.join(there, "rel_path", "left").withColumn("status", status)
 
 
+# Ranges of the names' hashes that two listings are compared by. Bounds what is broadcast.
+RANGES = 1 << 14
+
+
+def _range(ranges: int) -> Column:
+    return F.pmod(F.xxhash64("rel_path"), lit(ranges))
+
+
+def differing_ranges(source: DataFrame, target: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """(range): where two listings are not the same (rel_path, length) rows, ``ranges`` rows at most.
+
+    A listing is added up per range where it is read, so a shuffle gets a row per range and task
+    whatever the number of files.
+    """
+
+    def digests(listing: DataFrame, name: str) -> DataFrame:
+        entry = F.xxhash64("rel_path", "length")
+        other = F.xxhash64("length", "rel_path")
+        return listing.groupBy(_range(ranges).alias("range")).agg(
+            F.struct(F.count(lit(1)), F.bit_xor(entry), F.bit_xor(other)).alias(name)
+        )
+
+    both = digests(source, "here").join(digests(target, "there"), "range", "full_outer")
+    return both.filter(~col("here").eqNullSafe(col("there"))).select("range")
+
+
+def _in_differing(
+    source: DataFrame, target: DataFrame, ranges: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Source and target rows of the ranges that differ, and the other source rows."""
+    differing = F.broadcast(differing_ranges(source, target, ranges))
+
+    def rows(listing: DataFrame, how: str) -> DataFrame:
+        ranged = listing.withColumn("range", _range(ranges))
+        return ranged.join(differing, "range", how).drop("range")
+
+    return rows(source, "left_semi"), rows(target, "left_semi"), rows(source, "left_anti")
+
+
+def new_files_by_ranges(source: DataFrame, target: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """``new_files`` of very long listings: only ranges that differ are joined."""
+    here, there, _ = _in_differing(source, target, ranges)
+    return new_files(here, there)
+
+
+def validate_by_ranges(source: DataFrame, target: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """``validate`` of very long listings of distinct names: only ranges that differ are joined,
+    so the shuffle grows with the differences."""
+    here, there, same = _in_differing(source, target, ranges)
+    checked = validate(here, there)
+    fine = same.withColumns({"target_length": col("length"), "status": lit("ok")})
+    return checked.unionByName(fine)
+
+
 def verdict(validated: DataFrame) -> DataFrame:
     """One row: number of bad files, and whether there are none."""
     bad = F.count_if(col("status") != "ok")

@@ -21,7 +21,7 @@ from tripspark.operators.filters import (
 from tripspark.operators.star import Calendar, Star, bronze_zone_join
 from tripspark.plans import charts, gold, rollup, samples, silver, wide
 from tripspark.session import shared_dir
-from tripspark.sources import dimensions, order_lines
+from tripspark.sources import dimensions, order_lines, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,6 +197,31 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_trends_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily trends through bucketed copies of the trips and the minutes."""
+    folder, tag = _folder(spark, "by-minute"), uuid.uuid4().hex
+    names = f"trips_by_minute_{tag}", f"minutes_{tag}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    silver.write_by_minute(star_of(spark, sf_dir), *names, buckets, folder=folder)
+    return gold.daily_trends_bucketed(spark, *names)
+
+
+# Tables with a key of whole numbers, for the inventory.
+KEYS = {
+    "customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "part": "p_partkey",
+    "supplier": "s_suppkey", "events": "event_id", "documents": "doc_id", "pages": "page_id",
+    "conversations": "conv_id", "labels": "doc_id", "nation": "n_nationkey",
+}
+
+
+def table_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and range of the key of the given tables, from their footers."""
+    root = sf_dir.rstrip("/")
+    return tables.inventory(
+        spark, {name: (f"{root}/{name}.parquet", key) for name, key in KEYS.items()}
+    )
+
+
 # --- reconciliation -------------------------------------------------------------------
 
 
@@ -235,6 +260,14 @@ def file_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.validate(*_listings(spark, sf_dir))
 
 
+def file_new_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.new_files_by_ranges(*_listings(spark, sf_dir))
+
+
+def file_validation_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.validate_by_ranges(*_listings(spark, sf_dir))
+
+
 def file_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.verdict(file_validation(spark, sf_dir))
 
@@ -277,6 +310,7 @@ QUERIES: dict[str, Query] = {
     # time
     "daily_trends": rows(gold.daily_trends),
     "daily_trends_joined": rows(gold.daily_trends_joined),
+    "daily_trends_bucketed": daily_trends_bucketed,
     "hourly_distribution": rows(gold.hourly_distribution),
     "monthly_trends": rows(gold.monthly_trends),
     "weekly_trends": rows(gold.weekly_trends),
@@ -311,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": rows(gold.quality_report),
     "table_inventory": rows(gold.table_inventory),
     "table_counts": rows(gold.table_counts),
+    "table_footers": table_footers,
     # wide datasets
     "trips_wide": without_id(lambda star: wide.with_true_minutes(wide.trips_wide(star))),
     "trips_wide_min": without_id(wide.trips_wide_min),
@@ -376,6 +411,8 @@ QUERIES: dict[str, Query] = {
     "file_manifest": file_manifest,
     "file_new": file_new,
     "file_validation": file_validation,
+    "file_new_by_ranges": file_new_by_ranges,
+    "file_validation_by_ranges": file_validation_by_ranges,
     "file_verdict": file_verdict,
     "file_stats": file_stats,
     "file_md5": file_md5,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col, lit
 
@@ -40,6 +40,7 @@ from tripspark.operators.star import (
     with_trip_key,
 )
 from tripspark.plans import measures as m
+from tripspark.plans.silver import MINUTE_KEYS
 from tripspark.sinks import tables as sink
 
 # --- key indicators -------------------------------------------------------------------
@@ -121,6 +122,28 @@ def daily_trends_joined(star: Star) -> DataFrame:
     )
 
 
+def daily_trends_bucketed(spark: SparkSession, fact_table: str, minute_table: str) -> DataFrame:
+    """Daily trends through the join of the tables of ``silver.write_by_minute``.
+
+    Both are bucketed by the join's keys, so trips are neither moved nor sorted for it.
+    """
+    trips = with_digits(
+        spark.table(fact_table).join(spark.table(minute_table), MINUTE_KEYS, "left"),
+        {"fare": "FareAmount", "revenue": "TotalAmount"},
+    )
+    return (
+        trips.groupBy("trip_date", range_key("fare"), range_key("revenue"))
+        .agg(F.count(lit(1)).alias("n"), *sum_parts("fare"), *sum_parts("revenue"))
+        .groupBy("trip_date")
+        .agg(
+            F.sum("n").alias("trip_count"),
+            avg_of_parts("fare").alias("avg_fare"),
+            sum_of_parts("revenue").alias("daily_revenue"),
+        )
+        .orderBy("trip_date")
+    )
+
+
 def hourly_distribution(star: Star) -> DataFrame:
     hourly = aggregate(_timed(star), ["trip_hour"], m.trip_count(), m.avg_fare())
     return hourly.orderBy("trip_hour")

@@ -344,6 +344,34 @@ def build_dimensions(
     return {name: spark.table(f"{namespace}.{name}") for name in frames}
 
 
+MINUTE_KEYS = ["minute", "slot"]
+
+
+def write_by_minute(
+    star: Star, fact_table: str, minute_table: str, buckets: int, slots: int = 8,
+    folder: str | None = None,
+) -> None:
+    """Store good trips and the minute dimension bucketed and sorted by minute.
+
+    A busy minute would make one bucket large, so a minute's trips are dealt out to ``slots`` by
+    their id, and the dimension has a row for every slot.
+    """
+    trips = star.good().select(
+        col("PickupDateTimeID").alias("minute"),
+        F.pmod(F.xxhash64("TripID"), lit(slots)).cast("int").alias("slot"),
+        "FareAmount",
+        "TotalAmount",
+    )
+    minutes = star.dimtime.select(
+        col("timeid").alias("minute"),
+        F.explode(F.sequence(lit(0), lit(slots - 1))).alias("slot"),
+        col("Date").alias("trip_date"),
+    )
+    for df, table in ((trips, fact_table), (minutes, minute_table)):
+        path = None if folder is None else f"{folder}/{table}"
+        sink.write_bucketed(df, table, MINUTE_KEYS, buckets, path)
+
+
 def star_from_tables(spark: SparkSession, namespace: str) -> Star:
     """The star over written silver tables. Its calendar is what ``dimtime`` holds."""
     fact, location, payment, rate, times = (
