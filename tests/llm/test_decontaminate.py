@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 
 from tests.llm.data import collected, docs, edge_rows, prose
@@ -74,6 +75,30 @@ def test_benchmark_in_parts(spark, monkeypatch):
     assert got == sorted(brute(rows, items), key=repr)
 
 
+@pytest.mark.parametrize("part_words", [200_000, 20])
+def test_rows_without_item_id_are_no_items(spark, monkeypatch, part_words):
+    """In the SQL as in the query, with the benchmark in one part or several."""
+    monkeypatch.setattr(decontaminate, "PART_WORDS", part_words)
+    rng = random.Random(6)
+    secret, other = (prose(rng, 30) for _ in range(2))
+    items = [(None, " ".join(secret)), (4, " ".join(other)), (None, " ".join(other[:14])), (5, None)]
+    rows = [
+        (1, " ".join(secret)), (2, " ".join([*prose(rng, 50), *secret[3:20]])),
+        (3, " ".join(other)), (4, " ".join(prose(rng, 40))), (5, None),
+    ]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    want = con.sql(f"SELECT {', '.join(COLUMNS)} FROM ({decontaminate.ORACLE})").fetchall()
+    got = collected(decontaminate.report(docs(spark, rows), benchmark(spark, items)), *COLUMNS)
+    assert got == sorted(want, key=repr)
+    assert [(r[0], r[COLUMNS.index("n_items")]) for r in sorted(got)] == [
+        (1, 0), (2, 0), (3, 1), (4, 0), (5, 0),
+    ]
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_filter(spark, extra):
     rows, items = planted(random.Random(4))

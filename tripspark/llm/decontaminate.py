@@ -15,8 +15,8 @@ marks of several parts are merged per document.
 
 Defined cases: NULL or empty texts have no words, no hits and are not contaminated; an item
 without words has no window. Every row is judged by itself, so rows that repeat a doc_id, or
-have none, get a row each. Equal item ids are one item. Extra columns pass through
-`uncontaminated` and are ignored elsewhere.
+have none, get a row each. Equal item ids are one item; a benchmark row without item_id is no
+item, in the SQL too. Extra columns pass through `uncontaminated` and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -438,6 +438,7 @@ WITH doc AS (
                        'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
     FROM benchmark
+    WHERE item_id IS NOT NULL
   )
   WHERE len(words) > 0
 ), wanted AS (

@@ -310,7 +310,8 @@ def report(
     curves = spark.sparkContext.broadcast(Curves(_collected(fitted, dim), orderings))
     ranked = _ranked(classes, curves, dim, n)
     questions = stored(classes.join(asked.select("a", "b").distinct(), ["a", "b"]), "questions")
-    some = questions.orderBy(F.xxhash64("b"), "a").limit(sample).select("a", "b", "vector").collect()
+    some = questions.orderBy(F.xxhash64("b"), "a").limit(sample)
+    some = some.select("a", "b", "vector").collect()
     padded = [(r.a, r.b, r.vector + [0.0] * (dim - len(r.vector))) for r in some]
     truth = stored(_true_neighbours(classes, padded, dim, k), "truth")
     window = _window(ranked, truth, target, k)

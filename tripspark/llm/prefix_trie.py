@@ -97,7 +97,8 @@ def _plus(df: DataFrame, before: DataFrame) -> tuple[DataFrame, Column]:
 def positioned(conversations: DataFrame) -> DataFrame:
     """The turns with `pos`, their place in the conversation from 1."""
     slim = turns(conversations)
-    local = Window.partitionBy("conv_id", "part").orderBy(col("turn").asc_nulls_first(), *_ORDER[1:])
+    in_order = col("turn").asc_nulls_first(), *_ORDER[1:]
+    local = Window.partitionBy("conv_id", "part").orderBy(*in_order)
     counts = slim.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
     numbered = slim.withColumn("local", F.row_number().over(local))
     numbered, before = _plus(numbered, _before(counts, "n", "sum"))
@@ -157,9 +158,7 @@ def prefixes(sequences: DataFrame, convs: DataFrame) -> DataFrame:
     for run, total in (("run_x", "all_x"), ("run_y", "all_y")):
         out, before = _plus(out, _before(parts, total, "bit_xor"))
         out = out.withColumn(run, col(run).bitwiseXOR(before)).drop("before")
-    sketch = [
-        f"max(CASE WHEN depth = {d} THEN run_x END) {running} AS s{d}" for d in SKETCH
-    ]
+    sketch = [f"max(CASE WHEN depth = {d} THEN run_x END) {running} AS s{d}" for d in SKETCH]
     deep = out.selectExpr(
         "conv_id",
         "depth",
