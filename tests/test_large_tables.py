@@ -17,7 +17,7 @@ def test_bucketed_trips_are_not_moved(spark, sf_dir, tmp_path):
     star = catalogue.star_of(spark, sf_dir, years_cut=1)
     names = "trips_by_minute", "minutes_by_minute"
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    silver.write_by_minute(star, *names, buckets=6, folder=str(tmp_path))
+    silver.write_by_minute(star, *names, buckets=6, hot=1, folder=str(tmp_path))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         daily = gold.daily_trends_bucketed(spark, *names)
@@ -29,8 +29,26 @@ def test_bucketed_trips_are_not_moved(spark, sf_dir, tmp_path):
     join = text[text.index("SortMergeJoin") :]
     assert "Exchange" not in join and join.count("Bucketed: true") == 2
     assert "SelectedBucketsCount: 6 out of 6" in join
-    slots = spark.table(names[0]).groupBy("minute").agg(F.countDistinct("slot").alias("n"))
-    assert slots.agg(F.max("n")).first()[0] > 1
+    slots = spark.table(names[0]).groupBy("minute").agg(
+        F.countDistinct("slot").alias("slots"), F.count("*").alias("n")
+    )
+    assert slots.filter("n = 1").agg(F.max("slots")).first()[0] == 1
+    assert slots.agg(F.max("slots")).first()[0] > 1
+
+
+def test_only_busy_minutes_are_divided(spark, sf_dir, tmp_path):
+    star = catalogue.star_of(spark, sf_dir)
+    one = 199601011200
+    third = F.when(col("TripID") % 3 == 0, one).otherwise(col("PickupDateTimeID"))
+    fact = star.fact.withColumn("PickupDateTimeID", third)
+    fact.write.parquet(str(tmp_path / "fact"))
+    star = star.with_fact(spark.read.parquet(str(tmp_path / "fact")))
+    names = "trips_busy_minute", "minutes_busy_minute"
+    silver.write_by_minute(star, *names, buckets=3, slots=4, hot=100, folder=str(tmp_path))
+    divided = spark.table(names[1]).groupBy("minute").count().filter("count > 1").collect()
+    assert [tuple(r) for r in divided] == [(one, 4)]
+    daily = gold.daily_trends_bucketed(spark, *names)
+    assert daily.collect() == gold.daily_trends(star).collect()
 
 
 def test_inventory_reads_footers_only(spark, sf_dir, tmp_path):

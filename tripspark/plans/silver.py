@@ -348,26 +348,41 @@ MINUTE_KEYS = ["minute", "slot"]
 
 
 def write_by_minute(
-    star: Star, fact_table: str, minute_table: str, buckets: int, slots: int = 8,
+    star: Star,
+    fact_table: str,
+    minute_table: str,
+    buckets: int,
+    slots: int = 8,
+    hot: int | None = None,
     folder: str | None = None,
-) -> None:
+) -> None:
     """Store good trips and the minute dimension bucketed and sorted by minute.
 
-    A busy minute would make one bucket large, so a minute's trips are dealt out to ``slots`` by
-    their id, and the dimension has a row for every slot.
+    A busy minute would make one bucket large, so the trips of a minute with over ``hot`` of them, by
+    default a quarter of a bucket's share, are dealt out to ``slots`` by their id. The dimension
+    has a row for every slot of such a minute; there are four per bucket at most.
     """
     trips = star.good().select(
-        col("PickupDateTimeID").alias("minute"),
-        F.pmod(F.xxhash64("TripID"), lit(slots)).cast("int").alias("slot"),
+        col("PickupDateTimeID").alias("minute"), "TripID", "FareAmount", "TotalAmount"
+    )
+    if hot is None:
+        hot = max(1000, trips.count() // (4 * buckets))
+    busy = trips.groupBy("minute").agg(F.count(lit(1)).alias("n")).filter(col("n") > hot)
+    busy = F.broadcast(busy.select("minute", lit(True).alias("is_busy")))
+    slot = F.pmod(F.xxhash64("TripID"), lit(slots)).cast("int")
+    dealt = trips.join(busy, "minute", "left").select(
+        "minute",
+        F.when(col("is_busy"), slot).otherwise(0).alias("slot"),
         "FareAmount",
         "TotalAmount",
     )
-    minutes = star.dimtime.select(
-        col("timeid").alias("minute"),
-        F.explode(F.sequence(lit(0), lit(slots - 1))).alias("slot"),
-        col("Date").alias("trip_date"),
+    last = F.when(col("is_busy"), slots - 1).otherwise(0)
+    minutes = (
+        star.dimtime.select(col("timeid").alias("minute"), col("Date").alias("trip_date"))
+        .join(busy, "minute", "left")
+        .select("minute", F.explode(F.sequence(lit(0), last)).alias("slot"), "trip_date")
     )
-    for df, table in ((trips, fact_table), (minutes, minute_table)):
+    for df, table in ((dealt, fact_table), (minutes, minute_table)):
         path = None if folder is None else f"{folder}/{table}"
         sink.write_bucketed(df, table, MINUTE_KEYS, buckets, path)
 
