@@ -7,7 +7,7 @@ import pytest
 
 from tests.llm.data import docs, edge_rows, prose
 from tripspark.llm import lm_scoring
-from tripspark.llm.lm_scoring import CLASSES, FLOOR, PSEUDO, Classes, tokens
+from tripspark.llm.lm_scoring import FLOOR, PSEUDO, squeezed, tokens, unsqueezed
 
 
 def labels(spark, rows):
@@ -15,13 +15,10 @@ def labels(spark, rows):
 
 
 def brute(rows, target):
-    """Scores from plain dictionaries over the same classes."""
-    counts = Counter(w for _, t in rows for w in tokens((t or "").encode()))
-    words = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][: lm_scoring.WORDS]
-    classes = Classes(words)
+    """Scores from plain dictionaries over all words."""
 
     def pairs(text):
-        at = [0, *(classes[w] for w in tokens((text or "").encode()))]
+        at = ["", *tokens((text or "").encode())]
         return list(zip(at, at[1:], strict=False))
 
     both = [Counter(), Counter()]
@@ -31,6 +28,7 @@ def brute(rows, target):
             both[1].update(pairs(text))
     if not both[1]:
         both[1] = both[0]
+    size = len({word for _, word in both[0]})
     scale = [sum(both[1].values()) / max(sum(both[0].values()), 1), 1.0]
     models = []
     for side in (0, 1):
@@ -39,7 +37,7 @@ def brute(rows, target):
         for (a, b), n in pair.items():
             before[a] += n
             word[b] += n
-        total = sum(word.values()) + FLOOR * classes.size
+        total = sum(word.values()) + FLOOR * size
         models.append((pair, word, before, total))
 
     def loss(side, a, b):
@@ -57,20 +55,21 @@ def brute(rows, target):
     return out
 
 
-@pytest.mark.parametrize(("words", "shared"), [(3, 10**6), (40, 10**6), (40, 0)])
-def test_scores(spark, monkeypatch, words, shared):
+def agree(got, want):
+    got, want = (sorted(x, key=lambda r: (repr(r[0]), r[1:])) for x in (map(tuple, got), want))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-9)
+
+
+@pytest.mark.parametrize(("vocabulary", "shared"), [(5, 10**6), (50, 10**6), (50, 0)])
+def test_scores(spark, monkeypatch, vocabulary, shared):
     monkeypatch.setattr(lm_scoring, "SHARED_IDS", shared)
-    monkeypatch.setattr(lm_scoring.vocabulary, "__defaults__", (words,))
-    monkeypatch.setattr(lm_scoring, "WORDS", words)
     rng = random.Random(1)
-    rows = edge_rows() + [(100 + i, " ".join(prose(rng, 50, 30 + i))) for i in range(20)]
+    rows = edge_rows() + [(100 + i, " ".join(prose(rng, 50 + i, vocabulary))) for i in range(20)]
     marks = [(100 + i, i % 2, 0) for i in range(20)] + [(103, 1, 1), (None, 1, 0), (105, 1, None)]
-    got = sorted(map(tuple, lm_scoring.report(docs(spark, rows, extra=True), labels(spark, marks)).collect()), key=repr)
+    got = lm_scoring.report(docs(spark, rows, extra=True), labels(spark, marks)).collect()
     # 103 is as often toxic as not and does not count.
-    target = {100 + i for i in range(20) if i % 2} - {103}
-    want = sorted(brute(rows, target), key=repr)
-    assert [g[:2] for g in got] == [w[:2] for w in want]
-    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-4)
+    agree(got, brute(rows, {100 + i for i in range(20) if i % 2} - {103}))
 
 
 def test_target_like_documents_score_lower(spark):
@@ -84,18 +83,39 @@ def test_target_like_documents_score_lower(spark):
 
 
 def test_every_word_counts(spark, monkeypatch):
-    """Over 2,048 words, several slices: losses are those of the words, not of classes of them."""
+    """Many slices and parts, most words rare: losses are those of the words."""
     monkeypatch.setattr(lm_scoring, "SLICE", 4_000)
+    monkeypatch.setattr(lm_scoring, "KEYS", 100)
     rng = random.Random(3)
     rows = edge_rows() + [(100 + i, " ".join(prose(rng, 100, 20_000))) for i in range(60)]
     marks = [(100 + i, i % 2, 0) for i in range(60)]
     assert len({w for _, t in rows for w in (t or "").lower().split()}) > 2048
-    got = sorted(map(tuple, lm_scoring.report(docs(spark, rows), labels(spark, marks)).collect()), key=repr)
-    # The brute force without a limit on words: none falls into a hash class.
-    monkeypatch.setattr(lm_scoring, "WORDS", None)
-    want = sorted(brute(rows, {101 + i for i in range(0, 60, 2)}), key=repr)
-    assert [g[:2] for g in got] == [w[:2] for w in want]
-    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], atol=1e-6)
+    got = lm_scoring.report(docs(spark, rows), labels(spark, marks)).collect()
+    agree(got, brute(rows, {101 + i for i in range(0, 60, 2)}))
+
+
+def test_common_pair_in_every_slice(spark, monkeypatch):
+    """A third of all pairs are one pair, which every slice holds."""
+    monkeypatch.setattr(lm_scoring, "SLICE", 500)
+    rng = random.Random(4)
+    rows = [(i, " ".join(["of the"] * 20 + prose(rng, 80, 200))) for i in range(60)]
+    marks = [(i, i % 3 == 0, 0) for i in range(60)]
+    got = lm_scoring.report(docs(spark, rows), labels(spark, [(i, int(q), t) for i, q, t in marks]))
+    agree(got.collect(), brute(rows, set(range(0, 60, 3))))
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_squeezed_numbers_come_back(n):
+    rng = np.random.default_rng(n)
+    for high in (2, 1 << 20, (1 << 63) - 1):
+        numbers = rng.integers(0, high, n)
+        assert (unsqueezed(squeezed(numbers), n) == numbers).all()
+
+
+def test_documents_without_words_only(spark):
+    rows = [(1, None), (2, ""), (None, " \n")]
+    out = lm_scoring.report(docs(spark, rows), labels(spark, [(1, 1, 0)])).collect()
+    agree(out, [(doc, 0, 0.0, 0.0, 0.0) for doc, _ in rows])
 
 
 def test_without_target_or_documents(spark):
@@ -103,4 +123,3 @@ def test_without_target_or_documents(spark):
     out = lm_scoring.report(docs(spark, rows), labels(spark, [])).collect()
     assert len(out) == len(rows) and {round(r["score"], 6) for r in out} == {0.0}
     assert lm_scoring.report(docs(spark, []), labels(spark, [])).collect() == []
-    assert CLASSES > 0
