@@ -37,7 +37,7 @@ from tripspark.llm.common import partitions, rows, sliced, stored, texts
 
 PSEUDO = 20.0  # weight of the unigram model inside the bigram model, in counts
 FLOOR = 0.5  # added to each word's count
-SLICE = 16 << 20  # bytes of text
+SLICE = 12 << 20  # bytes of text
 KEYS = 1 << 20  # keys added up at once, about
 START = 0  # the key of a document's start, which is no word
 SHARED_IDS = 4_000_000  # target ids that are given to every task, 8 bytes each
@@ -142,7 +142,7 @@ def slices(docs: DataFrame, target: DataFrame) -> DataFrame:
             doc_ids = batch.column(0).to_pylist()
             for doc, mark, text in zip(doc_ids, marks, texts(batch), strict=True):
                 some = tokens(text)
-                at = np.fromiter(map(words.__getitem__, some), np.int64, len(some))
+                at = np.fromiter(map(words.__getitem__, some), np.int32, len(some))
                 waiting.append((doc, mark, at))
                 held += len(text)
             if held >= SLICE:
