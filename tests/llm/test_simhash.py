@@ -62,6 +62,16 @@ def test_groups(spark, rows):
     assert got == sorted(brute(rows), key=repr)
 
 
+def test_hot_fingerprint(spark):
+    """Copies that hold most rows beside fingerprints of a row each; repeated and missing ids."""
+    rng = random.Random(6)
+    hot = " ".join(prose(rng, 40))
+    rows = [(i % 250 if i % 9 else None, hot) for i in range(300)]
+    rows += [(1000 + i, None) for i in range(60)] + near_copies(rng, 10, 3)
+    got = collected(simhash.report(docs(spark, rows)), "doc_id", "fingerprint", "component_id")
+    assert got == sorted(brute(rows), key=repr)
+
+
 def test_links_in_tiles(spark):
     """A bucket that is cut into many tiles gives the same components as all pairs."""
     rng = random.Random(4)

@@ -253,18 +253,26 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, tile: int = TILE) ->
 def groups(
     docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE
 ) -> DataFrame:
-    """Per document: doc_id, row_hash, fp, component_id (least doc_id reachable by links)."""
+    """Per document: doc_id, row_hash, fp, component_id (least doc_id reachable by links).
+
+    Fingerprints of more than a quarter of a partition's share of rows, of which there are four a
+    partition at most, meet their rows by a broadcast and the others by a shuffle.
+    """
     prints = stored(fingerprints(docs, size), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     roots = components(links(distinct, distance))
     placed = distinct.join(roots, col("fp") == col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+        "fp", "least", "n", F.coalesce("root", "fp").alias("root")
     )
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = placed.join(ids, "root").select("fp", "component_id", "root")
-    return prints.join(by_print, "fp").select(
-        "doc_id", "row_hash", "fp", "component_id", "root"
+    by_print = stored(placed.join(ids, "root").select("fp", "n", "component_id", "root"), "groups")
+    share = max(prints.count() // (4 * partitions(docs.sparkSession)), 1)
+    hot = F.broadcast(by_print.where(col("n") > share))
+    others = prints.join(hot.select("fp"), "fp", "left_anti")
+    found = prints.join(hot, "fp").unionByName(
+        others.join(by_print.where(col("n") <= share), "fp")
     )
+    return found.select("doc_id", "row_hash", "fp", "component_id", "root")
 
 
 def report(docs: DataFrame) -> DataFrame:
