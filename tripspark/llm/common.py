@@ -28,13 +28,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write an intermediate table to the shared folder and read it from there.
 
     It is computed once, survives lost executors and cuts the lineage.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
