@@ -66,7 +66,8 @@ def inventory(spark: SparkSession, tables: dict[str, tuple[str, str | None]]) ->
         ends = ["least", "greatest"] if column is not None else [lit(None), lit(None)]
         return found.select(
             lit(name).alias("table_name"),
-            F.coalesce("row_count", lit(0)).alias("row_count"),  # no footers, no count
+            # No footers, no count. As a count is never NULL to Spark, coalesce() would be left out.
+            F.greatest("row_count", lit(0)).alias("row_count"),
             *[
                 (found[e] if column is not None else e).cast("long").alias(n)
                 for e, n in zip(ends, ("least", "greatest"), strict=True)

@@ -34,7 +34,7 @@ def reload_days(
     files: dict = {}
     for day in sorted(days):
         files |= bronze.day_files(spark, root, day, day)
-    failed = write_days(spark, root, table, files, offset_years, provider)
+    _, failed = write_days(spark, root, table, files, offset_years, provider)
     if failed:
         raise RuntimeError(f"days that could not be loaded: {failed}")
 
